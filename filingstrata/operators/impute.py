@@ -62,12 +62,14 @@ def fill_from_groups(
     fills: Sequence[Fill],
     accuracy: int = ACCURACY,
     exact_median: bool = False,
+    rare_gaps: bool = False,
 ) -> DataFrame:
     """Fill NULLs of each ``Fill.column`` with its statistic over rows that agree in ``by``.
 
     Non-null values, the number of rows and the column order stay as they are. NULL in ``by``
     belongs to no group. Medians use the mergeable quantile sketch (exact up to ``accuracy``), or an
-    exact distributed rank selection with ``exact_median``.
+    exact distributed rank selection with ``exact_median``. ``rare_gaps`` tells that most groups miss
+    nothing: medians are then taken only of rows in groups that do, found by a semi join.
     """
     by = list(by)
     targets = [fill.column for fill in fills]
@@ -79,8 +81,11 @@ def fill_from_groups(
     if modes:
         parts.append(_group_modes(counts, by, modes))
     if medians:
-        compute = _exact_medians if exact_median else _sketched_medians
-        parts.append(compute(df, by, medians, accuracy))
+        rows = _rows_of_gappy_groups(df, by, targets) if rare_gaps else df.filter(_none_null(by))
+        if exact_median:
+            parts.append(_exact_medians(rows, by, medians))
+        else:
+            parts.append(_sketched_medians(rows, by, medians, accuracy))
     lookup = reduce(lambda left, right: left.join(right, by, "full_outer"), parts)
 
     fillable = _any_null(targets) & _none_null(by)
@@ -88,7 +93,14 @@ def fill_from_groups(
     # The whole condition can be NULL-free: isNull and isNotNull never return NULL.
     untouched = df.filter(~fillable)
 
-    statistic = {fill.column: F.coalesce(F.col(fill.column), _rendered(fill)) for fill in fills}
+    # With one target every gap row misses it, so the statistic alone is the value. A later filter
+    # on that column then turns the left join into an inner one.
+    statistic = {
+        fill.column: _rendered(fill)
+        if len(fills) == 1
+        else F.coalesce(F.col(fill.column), _rendered(fill))
+        for fill in fills
+    }
     filled = gaps.join(lookup, by, "left").select(
         *[statistic[name].alias(name) if name in statistic else F.col(name) for name in df.columns]
     )
@@ -122,15 +134,15 @@ def impute_median(
     accuracy: int = ACCURACY,
     exact: bool = False,
     flag: str | None = None,
+    rare_gaps: bool = False,
 ) -> DataFrame:
     """Fill with the group's lower median.
 
     ``flag`` names a column that is true where the row's group has no statistic: a NULL group key,
     or no value in the whole group.
     """
-    result = fill_from_groups(
-        df, by, [Fill(name, "median") for name in columns], accuracy=accuracy, exact_median=exact
-    )
+    fills = [Fill(name, "median") for name in columns]
+    result = fill_from_groups(df, by, fills, accuracy, exact_median=exact, rare_gaps=rare_gaps)
     if flag is not None:
         # A group without statistics leaves its NULLs unfilled; a group with them leaves none.
         result = result.withColumn(flag, _any_null([*by, *columns]))
@@ -186,24 +198,34 @@ def _group_modes(counts: DataFrame, by: list[str], fills: Sequence[Fill]) -> Dat
     return counts.filter(_none_null(by)).groupBy(*by).agg(*aggregates).filter(some_gap)
 
 
+def _rows_of_gappy_groups(df: DataFrame, by: list[str], targets: list[str]) -> DataFrame:
+    """Rows that hold a target value, of groups in which some row misses one.
+
+    Groups meet by a hash of their key: two groups with one hash only let unneeded rows through.
+    Since the join is not on the key itself, the aggregation after it keeps its own shuffle with a
+    map-side part, and the join may split a partition that one large group fills.
+    """
+    group = F.xxhash64(*by).alias("__group")
+    keyed = df.filter(_none_null(by))
+    gappy = keyed.filter(_any_null(targets)).select(group).distinct()
+    holding = reduce(or_, [F.col(name).isNotNull() for name in targets])
+    rows = keyed.filter(holding).select(*by, *targets, group)
+    return rows.join(gappy, "__group", "left_semi").drop("__group")
+
+
 def _sketched_medians(
-    df: DataFrame, by: list[str], fills: Sequence[Fill], accuracy: int
+    rows: DataFrame, by: list[str], fills: Sequence[Fill], accuracy: int
 ) -> DataFrame:
-    """Medians of the groups that miss something; sketches are merged map-side and bounded in size."""
-    missing = reduce(or_, [F.col(fill.column).isNull() for fill in fills])
+    """Medians per group; sketches are merged map-side and bounded in size."""
     medians = [
         F.percentile_approx(_measure(fill), 0.5, accuracy).alias(fill.found) for fill in fills
     ]
-    grouped = df.filter(_none_null(by)).groupBy(*by).agg(F.bool_or(missing).alias("__wanted"), *medians)
-    return grouped.filter("__wanted").drop("__wanted")
+    return rows.groupBy(*by).agg(*medians)
 
 
-def _exact_medians(
-    df: DataFrame, by: list[str], fills: Sequence[Fill], accuracy: int
-) -> DataFrame:
-    keyed = df.filter(_none_null(by))
+def _exact_medians(rows: DataFrame, by: list[str], fills: Sequence[Fill]) -> DataFrame:
     parts = [
-        exact_quantiles(keyed.select(*by, _measure(fill).alias("__v")), "__v", {fill.found: 0.5}, by)
+        exact_quantiles(rows.select(*by, _measure(fill).alias("__v")), "__v", {fill.found: 0.5}, by)
         for fill in fills
     ]
     return reduce(lambda left, right: left.join(right, by, "full_outer"), parts)
@@ -221,16 +243,29 @@ def _fill_global_modes(
     Those frequencies follow from the group counts (values present, plus each group's gaps counted
     for the group's mode), so the filled rows are not read again. The result is one row.
     """
-    winners = []
+    names = [fill.column for fill in fills]
+    about_one = [(F.col(f"__rolled_{name}") == 0) & F.col(name).isNotNull() for name in names]
+    present = counts.filter(reduce(or_, about_one)).select(
+        *names, *[F.col(f"__rolled_{name}").cast("int") for name in names], "__n"
+    )
+    gains = []
     for fill in fills:
-        name = fill.column
-        present = counts.filter(_about(name) & F.col(name).isNotNull()).select(name, "__n")
-        gained = lookup.filter(F.col(fill.found).isNotNull()).select(
-            F.col(fill.found).alias(name), F.col(f"__gaps_{name}").alias("__n")
-        )
-        frequency = present.unionByName(gained).groupBy(name).agg(F.sum("__n").alias("__n"))
-        winners.append(frequency.agg(_most_frequent(name, F.lit(True)).alias(f"__global_{name}")))
-    one_row = reduce(lambda left, right: left.crossJoin(right), winners)
-    defaults = {fill.column: F.col(f"__global_{fill.column}") for fill in fills}
+        mine = [F.col(fill.found) if n == fill.column else F.lit(None) for n in names]
+        values = [value.cast(df.schema[n].dataType).alias(n) for n, value in zip(names, mine)]
+        rolled = [F.lit(int(n != fill.column)).alias(f"__rolled_{n}") for n in names]
+        gains.append(F.struct(*values, *rolled, F.col(f"__gaps_{fill.column}").alias("__n")))
+    gained = lookup.select(F.inline(F.array(*gains)))
+    frequency = (
+        present.unionByName(gained)
+        .groupBy(*names, *[f"__rolled_{name}" for name in names])
+        .agg(F.sum("__n").alias("__n"))
+    )
+    one_row = frequency.agg(
+        *[
+            _most_frequent(name, about).alias(f"__global_{name}")
+            for name, about in zip(names, about_one)
+        ]
+    )
+    defaults = {name: F.col(f"__global_{name}") for name in names}
     completed = impute_default(df.crossJoin(F.broadcast(one_row)), defaults)
     return completed.select(*df.columns)

@@ -1,0 +1,100 @@
+"""Dense keys and exact quantiles against brute force, over several slices."""
+
+from __future__ import annotations
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from filingstrata.operators import ranks
+from filingstrata.operators.ranks import dense_key, exact_quantiles, sorted_slices
+
+
+@pytest.fixture
+def many_slices(spark):
+    """Keep range partitions apart, as they are for large inputs."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _first_nulls(row):
+    return [(value is not None, value if value is not None else 0) for value in row]
+
+
+def test_keys_follow_the_order_over_slices(many_slices):
+    data = [(i * 7919 % 1000 if i % 50 else None, f"s{i % 13}" if i % 7 else None, i) for i in range(1000)]
+    table = many_slices.createDataFrame(data, "a int, b string, c int").repartition(5)
+    assert sorted_slices(table, ["a", "b", "c"], "test").select("__slice").distinct().count() > 1
+    keyed = dense_key(table, "id", order_by=["a", "b"])
+    assert keyed.columns == ["id", "a", "b", "c"]
+    found = [tuple(row)[1:] for row in keyed.orderBy("id").collect()]
+    assert found == sorted(data, key=_first_nulls)
+    assert [row.id for row in keyed.orderBy("id").collect()] == list(range(1, 1001))
+
+
+def test_keys_do_not_depend_on_partitioning(many_slices):
+    table = many_slices.range(500).select((F.col("id") * 37 % 101).alias("x"), "id")
+    one = {tuple(row) for row in dense_key(table.repartition(2), "k").collect()}
+    two = {tuple(row) for row in dense_key(table.repartition(9, "x"), "k").collect()}
+    assert one == two
+
+
+def test_few_leading_values_still_spread(many_slices):
+    table = many_slices.range(4000).select((F.col("id") % 2).alias("stmt"), "id")
+    sizes = sorted_slices(table, ["stmt", "id"], "test").groupBy("__slice").count().collect()
+    assert len(sizes) >= 6 and max(row["count"] for row in sizes) < 1500
+
+
+def test_equal_rows_get_their_own_numbers(many_slices, monkeypatch):
+    monkeypatch.setattr(ranks, "_COPIES_PER_ROW", 7)
+    data = [("a",)] * 50 + [("b",)] + [("c",)] * 7 + [(None,)] * 15
+    table = many_slices.createDataFrame(data, "x string").repartition(4)
+    keyed = dense_key(table, "id", unique=False)
+    found = [row.x for row in keyed.orderBy("id").collect()]
+    assert found == [None] * 15 + ["a"] * 50 + ["b"] + ["c"] * 7
+    assert [row.id for row in keyed.orderBy("id").collect()] == list(range(1, 74))
+
+
+def test_empty_input(many_slices):
+    empty = many_slices.createDataFrame([], "x int")
+    assert dense_key(empty, "id").collect() == []
+    assert dense_key(empty, "id", unique=False).collect() == []
+    assert [tuple(row) for row in exact_quantiles(empty, "x", {"p50": 0.5}).collect()] == [(None,)]
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    data=st.lists(
+        st.tuples(st.sampled_from([None, 1, 2]), st.one_of(st.none(), st.integers(0, 9))),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_quantiles_match_brute_force(many_slices, data):
+    table = many_slices.createDataFrame(data, "k int, v int").repartition(3)
+    probabilities = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0}
+
+    def expected(values):
+        values = sorted(values)
+        ranks_of = [max(1, -(-p * len(values) // 1)) for p in probabilities.values()]
+        return tuple(values[int(rank) - 1] for rank in ranks_of)
+
+    groups = {}
+    for key, value in data:
+        if value is not None:
+            groups.setdefault(key, []).append(value)
+    found = {row.k: tuple(row)[1:] for row in exact_quantiles(table, "v", probabilities, ["k"]).collect()}
+    assert found == {key: expected(values) for key, values in groups.items()}
+    everything = [value for values in groups.values() for value in values]
+    overall = tuple(exact_quantiles(table, "v", probabilities).first())
+    assert overall == (expected(everything) if everything else (None,) * 5)
+
+
+def test_group_spanning_slices(many_slices):
+    table = many_slices.range(10_001).select(F.lit("hot").alias("k"), (F.col("id") * 3).alias("v"))
+    found = exact_quantiles(table, "v", {"p50": 0.5, "p90": 0.9}, ["k"]).first()
+    assert (found.p50, found.p90) == (15_000, 27_000)

@@ -62,7 +62,7 @@ def main(arguments: list[str]) -> int:
     spark = build_session(
         "compare",
         "local[8]",
-        {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = open_tables(sf_dir)
