@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filingstrata.operators.ranks import exact_quantiles
@@ -43,11 +43,29 @@ def frequency(df: DataFrame, by: str) -> DataFrame:
 
 
 def category_share(df: DataFrame, by: str, percentage: str = "percentage") -> DataFrame:
-    """Rows per value and their share of all rows in percent, most frequent first.
+    """Rows per value and their share of all rows in percent, most frequent first."""
+    return _with_share(df.groupBy(by).agg(F.count(F.lit(1)).alias("count")), by, percentage)
 
-    The total is summed from the group counts and reaches them as one broadcast row.
+
+def usage_share(
+    df: DataFrame,
+    definitions: DataFrame,
+    on: Sequence[str],
+    by: str,
+    percentage: str = "percentage",
+) -> DataFrame:
+    """Shares of ``by``, a column of ``definitions``, among the rows of ``df``; NULL for undefined rows.
+
+    Rows are counted per key before the join, so the join moves one row per key and task instead of
+    every row of ``df``, and a key that many rows share is one row by then.
     """
-    counted = df.groupBy(by).agg(F.count(F.lit(1)).alias("count"))
+    used = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__uses"))
+    defined = used.join(definitions.select(*on, by), list(on), "left")
+    return _with_share(defined.groupBy(by).agg(F.sum("__uses").alias("count")), by, percentage)
+
+
+def _with_share(counted: DataFrame, by: str, percentage: str) -> DataFrame:
+    # The total is summed from the group counts and reaches them as one broadcast row.
     total = counted.agg(F.sum("count").alias("__total"))
     shared = counted.crossJoin(F.broadcast(total)).select(
         by, "count", (F.col("count") * 100 / F.col("__total")).alias(percentage)
@@ -62,26 +80,17 @@ def top_values(df: DataFrame, by: str, n: int = 20) -> DataFrame:
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per numeric column: count, mean, stddev, min, exact lower quartiles, max."""
-    parts = [_summary_of(df.select(F.col(name).alias("value")), name) for name in columns]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
-def _summary_of(values: DataFrame, name: str) -> DataFrame:
-    number = F.col("value").cast("double")
-    moments = values.agg(
+    numbers = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
+    values = numbers.unpivot([], list(columns), "column", "value")
+    moments = values.groupBy("column").agg(
         F.count("value").alias("count"),
-        F.mean(number).alias("mean"),
-        F.stddev(number).alias("stddev"),
-        F.min(number).alias("min"),
-        F.max(number).alias("max"),
+        F.mean("value").alias("mean"),
+        F.stddev("value").alias("stddev"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(values, "value", QUARTILES)
-    # Both sides are one row.
-    joined = moments.crossJoin(quartiles)
-    quartile_columns: list[Column] = [F.col(q).cast("double").alias(q) for q in QUARTILES]
-    return joined.select(
-        F.lit(name).alias("column"), "count", "mean", "stddev", "min", *quartile_columns, "max"
+    quartiles = exact_quantiles(values, "value", QUARTILES, by=["column"])
+    # One row per column on both sides.
+    return moments.join(quartiles, "column", "left").select(
+        "column", "count", "mean", "stddev", "min", *QUARTILES, "max"
     )

@@ -42,21 +42,19 @@ def sorted_slices(df: DataFrame, order_by: Sequence[str], label: str) -> DataFra
     )
 
 
-def _slice_offsets(slices: DataFrame, weight: Column, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Weight held by all earlier slices, one row per slice (and group).
+def _slice_offsets(slices: DataFrame, weight: Column, by: Sequence[str] = ()) -> DataFrame:
+    """One row per slice (and group): ``__before`` is the weight of all earlier slices, ``__total`` of all.
 
-    The window sees one row per slice, so at most one per shuffle partition.
+    The windows see one row per slice, so at most one per shuffle partition and group.
     """
-    earlier = (
-        Window.partitionBy(*partition_by)
-        .orderBy("__slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    sizes = slices.groupBy(*partition_by, "__slice").agg(weight.alias("__weight"))
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = slices.groupBy(*by, "__slice").agg(weight.alias("__weight"))
     return sizes.select(
-        *partition_by,
+        *by,
         "__slice",
         F.coalesce(F.sum("__weight").over(earlier), F.lit(0)).alias("__before"),
+        F.sum("__weight").over(group).alias("__total"),
     )
 
 
@@ -123,18 +121,15 @@ def exact_quantiles(
     inside = Window.partitionBy("__slice", *by).orderBy("__at")
     upto_inside = slices.withColumn("__upto", F.sum("__n").over(inside))
     offsets = _slice_offsets(slices, F.sum("__n"), by)
-    totals = slices.groupBy(*by).agg(F.sum("__n").alias("__total"))
-
     if by:
-        same_slice = [upto_inside[name].eqNullSafe(offsets[name]) for name in by]
-        same_slice.append(upto_inside["__slice"] == offsets["__slice"])
-        joined = upto_inside.join(offsets, same_slice).select(upto_inside["*"], offsets["__before"])
-        ranked = joined.join(
-            totals, [joined[name].eqNullSafe(totals[name]) for name in by]
-        ).select(joined["*"], totals["__total"])
+        # The slice is part of the key, so the rows of one large group stay spread out.
+        same = [upto_inside[name].eqNullSafe(offsets[name]) for name in [*by, "__slice"]]
+        ranked = upto_inside.join(offsets, same).select(
+            upto_inside["*"], offsets["__before"], offsets["__total"]
+        )
     else:
-        # One row per slice and one row in all.
-        ranked = upto_inside.join(F.broadcast(offsets), "__slice").crossJoin(F.broadcast(totals))
+        # One row per slice: bounded by the number of shuffle partitions.
+        ranked = upto_inside.join(F.broadcast(offsets), "__slice")
 
     upto = F.col("__before") + F.col("__upto")
     chosen = []

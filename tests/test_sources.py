@@ -1,0 +1,142 @@
+"""Ingest, layered tables, text files and staged intermediates."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from filingstrata import schemas
+from filingstrata.sources.bronze import conform, ingest, ingest_all, with_year_quarter
+from filingstrata.sources.staging import shared_folder, stage
+from filingstrata.sources.tables import Lake
+from filingstrata.sources.text import read_tsv, write_tsv
+from helpers import frame, plan, rows
+
+
+@pytest.mark.parametrize(
+    ("path", "year", "quarter"),
+    [
+        ("/raw/2024q1/num.parquet", 2024, 1),
+        ("/raw/2024Q4/num.parquet", 2024, 4),
+        ("/raw/fs_2023_q2/num.parquet", 2023, 2),
+        ("/raw/2024-01q1/num.parquet", None, None),
+        ("/raw/2024q5/num.parquet", None, None),
+        ("/raw/misc/num.parquet", None, None),
+        ("/raw/12024q3", 2024, 3),
+        (None, None, None),
+    ],
+)
+def test_year_and_quarter_of_a_path(spark, path, year, quarter):
+    table = spark.createDataFrame([(path,)], "path string")
+    assert tuple(with_year_quarter(table, "path").first()) == (path, year, quarter)
+
+
+def test_conform_casts_in_place_and_keeps_other_columns(spark):
+    data = [("seg", "1", "t", "v", "20240101", "1", "USD", None, "12.5", None), ("s", "2", "t", "v", "x", "n/a", "USD", None, "NM", None)]
+    raw = spark.createDataFrame(
+        data,
+        "segments string, adsh string, tag string, version string, ddate string, qtrs string, "
+        "uom string, coreg string, value string, footnote string",
+    )
+    conformed = conform(raw, schemas.NUM_SCHEMA)
+    assert conformed.columns == raw.columns
+    assert dict(conformed.dtypes)["value"] == "decimal(28,4)" and dict(conformed.dtypes)["qtrs"] == "int"
+    assert rows(conformed, "adsh", "ddate", "qtrs", "value") == [
+        ("1", "20240101", 1, Decimal("12.5000")), ("2", "x", None, None),
+    ]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        conform(raw, schemas.NUM_SCHEMA, on_error="fail").collect()
+    with pytest.raises(ValueError, match="on_error"):
+        conform(raw, schemas.NUM_SCHEMA, on_error="ignore")
+
+
+def test_conform_missing_columns(spark):
+    raw = spark.createDataFrame([("t",)], "tag string")
+    with pytest.raises(ValueError, match="version"):
+        conform(raw, schemas.TAG_SCHEMA)
+    assert conform(raw, schemas.TAG_SCHEMA, add_missing=True).columns == schemas.TAG_SCHEMA.names
+
+
+def _write_raw(spark, root):
+    """Two quarters of all inputs, one more column in the second, and things to be ignored."""
+    for folder, extra in (("2023q4", False), ("2024q1", True)):
+        for stem, (schema, _) in schemas.INPUTS.items():
+            df = frame(spark, schema, ["adsh", "tag", "version"], [(folder, "T", "v"), (folder, "U", "v")])
+            df = df.withColumn("segments", F.lit("s")) if stem == "num" and extra else df
+            df.write.parquet(f"{root}/{folder}/{stem}.parquet")
+    spark.range(3).write.parquet(f"{root}/2024q1/notes.parquet")
+    frame(spark, schemas.TAG_SCHEMA, ["tag"], [("lost",)]).write.parquet(f"{root}/archive/tag.parquet")
+
+
+def test_ingest_twice_replaces_quarters(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), Lake(spark, str(tmp_path / "lake"))
+    _write_raw(spark, raw)
+    for _ in range(2):
+        assert ingest_all(lake, raw) == ["submissions", "numbers", "tags", "presentations"]
+    numbers = lake.read("bronze", "numbers", merge_schema=True)
+    assert rows(numbers, "tag", "segments", "year", "quarter") == [
+        ("T", None, 2023, 4), ("T", "s", 2024, 1), ("U", None, 2023, 4), ("U", "s", 2024, 1),
+    ]
+    # A folder that names no quarter is skipped.
+    assert {row.tag for row in lake.read("bronze", "tags").collect()} == {"T", "U"}
+
+
+def test_ingest_of_one_quarter_leaves_the_others(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), Lake(spark, str(tmp_path / "lake"))
+    _write_raw(spark, raw)
+    ingest(lake, raw, "tag")
+    frame(spark, schemas.TAG_SCHEMA, ["tag"], [("New",)]).write.parquet(f"{raw}/2024q2/tag.parquet")
+    ingest(lake, raw, "tag", pattern="2024q2/tag.parquet")
+    tags = lake.read("bronze", "tags")
+    assert tags.count() == 5
+    pruned = lake.read("bronze", "tags", quarters=[(2024, 2), (2023, 4)])
+    assert rows(pruned, "tag", "year", "quarter") == [("New", 2024, 2), ("T", 2023, 4), ("U", 2023, 4)]
+    assert "PartitionFilters: [(" in plan(pruned)
+
+
+def test_table_life_cycle(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    assert not lake.exists("silver_life", "t") and not lake.is_registered("silver_life", "t")
+    lake.write(spark.range(3), "silver_life", "t")
+    assert lake.register("silver_life", "t") == "silver_life.t"
+    assert lake.exists("silver_life", "t") and lake.is_registered("silver_life", "t")
+    lake.write(spark.createDataFrame([("x", 1)], "a string, b int"), "silver_life", "t")
+    lake.register("silver_life", "t")
+    assert rows(spark.table("silver_life.t")) == [("x", 1)] == rows(lake.read("silver_life", "t"))
+    lake.drop("silver_life", "t")
+    assert not lake.exists("silver_life", "t") and not lake.is_registered("silver_life", "t")
+    with pytest.raises(AnalysisException):
+        lake.read("silver_life", "t")
+
+
+def test_partitioned_table_by_name(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    stamped = spark.range(4).select("id", F.lit(2024).alias("year"), (F.col("id") % 2 + 1).cast("int").alias("quarter"))
+    lake.write(stamped, "bronze_parts", "t", partition_by=["year", "quarter"])
+    assert rows(spark.table(lake.register("bronze_parts", "t"))) == rows(stamped)
+
+
+def test_tsv(spark, tmp_path):
+    data = [
+        (" padded ", "O'Neil \"Q\" Inc", Decimal("1.5000"), date(2024, 1, 2), datetime(2024, 1, 2, 3), True, None),
+        (None, "tab\tinside", None, None, None, None, 7),
+    ]
+    table = spark.createDataFrame(
+        data, "a string, b string, c decimal(28,4), d date, e timestamp, f boolean, g int"
+    )
+    write_tsv(table, str(tmp_path / "t"))
+    assert rows(read_tsv(spark, str(tmp_path / "t"), table.schema)) == rows(table)
+    inferred = dict(read_tsv(spark, str(tmp_path / "t")).dtypes)
+    assert inferred["g"] == "int" and inferred["d"] == "date" and inferred["f"] == "boolean"
+
+
+def test_staged_rows_live_in_the_shared_folder(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == folder
+    staged = stage(spark.range(10), "test")
+    assert rows(staged) == [(i,) for i in range(10)]
+    assert all(folder in name for name in staged.inputFiles())

@@ -16,6 +16,7 @@ from filingstrata.operators.breakdown import (
     null_breakdown,
     numeric_summary,
     top_values,
+    usage_share,
 )
 from filingstrata.operators.checks import check_not_null
 from filingstrata.operators.profile import profile, profile_flags
@@ -259,8 +260,8 @@ def tag_custom_share(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def custom_usage(spark: SparkSession, sf: str) -> DataFrame:
-    definitions = tag_raw(spark, sf).select("tag", "version", "custom", "abstract")
-    return _share(num_raw(spark, sf).join(definitions, ["tag", "version"], "left"), "custom")
+    shares = usage_share(num_raw(spark, sf), tag_raw(spark, sf), ["tag", "version"], "custom")
+    return shares.withColumn("percentage", F.round("percentage", 6))
 
 
 def qtrs_freq(spark: SparkSession, sf: str) -> DataFrame:
