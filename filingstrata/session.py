@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Recording a Python call site for every column expression doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Rerunning an ingest replaces the quarters it carries and leaves the others alone.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

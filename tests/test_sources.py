@@ -98,6 +98,29 @@ def test_ingest_of_one_quarter_leaves_the_others(spark, tmp_path):
     assert "PartitionFilters: [(" in plan(pruned)
 
 
+def test_column_types_may_change_between_quarters(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), Lake(spark, str(tmp_path / "lake"))
+    texts = spark.createDataFrame([("a", "T", "v", "20240101", "4", "USD", None, "1.5", None)], ", ".join(f"{n} string" for n in schemas.NUM_SCHEMA.names))
+    typed = conform(texts, schemas.NUM_SCHEMA)
+    texts.write.parquet(f"{raw}/2023q3/num.parquet")
+    typed.write.parquet(f"{raw}/2023q4/num.parquet")
+    typed.withColumn("qtrs", F.col("qtrs").cast("double")).write.parquet(f"{raw}/2024q1/num.parquet")
+    typed.withColumn("segments", F.lit("s")).write.parquet(f"{raw}/2024q2/num.parquet")
+    ingest(lake, raw, "num")
+    numbers = lake.read("bronze", "numbers", merge_schema=True)
+    assert rows(numbers, "year", "quarter", "qtrs", "value", "segments") == [
+        (2023, 3, 4, Decimal("1.5000"), None), (2023, 4, 4, Decimal("1.5000"), None),
+        (2024, 1, 4, Decimal("1.5000"), None), (2024, 2, 4, Decimal("1.5000"), "s"),
+    ]
+
+
+def test_blanks_in_folder_names(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), Lake(spark, str(tmp_path / "lake"))
+    frame(spark, schemas.TAG_SCHEMA, ["tag"], [("T",)]).write.parquet(f"{raw}/2024 Q2/tag.parquet")
+    ingest(lake, raw, "tag")
+    assert rows(lake.read("bronze", "tags"), "tag", "year", "quarter") == [("T", 2024, 2)]
+
+
 def test_table_life_cycle(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     assert not lake.exists("silver_life", "t") and not lake.is_registered("silver_life", "t")
