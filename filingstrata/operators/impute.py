@@ -15,6 +15,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filingstrata.operators.joins import splittable_join
 from filingstrata.operators.ranks import exact_quantiles
 
 # Default accuracy of percentile_approx: the rank error is at most group size / accuracy.
@@ -101,7 +102,7 @@ def fill_from_groups(
         else F.coalesce(F.col(fill.column), _rendered(fill))
         for fill in fills
     }
-    filled = gaps.join(lookup, by, "left").select(
+    filled = splittable_join(gaps, lookup, by, "left").select(
         *[statistic[name].alias(name) if name in statistic else F.col(name) for name in df.columns]
     )
     result = untouched.unionByName(filled)
@@ -203,14 +204,14 @@ def _rows_of_gappy_groups(df: DataFrame, by: list[str], targets: list[str]) -> D
 
     Groups meet by a hash of their key: two groups with one hash only let unneeded rows through.
     Since the join is not on the key itself, the aggregation after it keeps its own shuffle with a
-    map-side part, and the join may split a partition that one large group fills.
+    map-side part, so the join may split a partition that one large group fills.
     """
     group = F.xxhash64(*by).alias("__group")
     keyed = df.filter(_none_null(by))
     gappy = keyed.filter(_any_null(targets)).select(group).distinct()
     holding = reduce(or_, [F.col(name).isNotNull() for name in targets])
     rows = keyed.filter(holding).select(*by, *targets, group)
-    return rows.join(gappy, "__group", "left_semi").drop("__group")
+    return splittable_join(rows, gappy, ["__group"], "left_semi").drop("__group")
 
 
 def _sketched_medians(
