@@ -29,7 +29,7 @@ CELLS = st.lists(
     max_size=30,
 )
 SLOW = settings(
-    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 

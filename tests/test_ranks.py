@@ -65,7 +65,7 @@ def test_empty_input(many_slices):
 
 
 @settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(
     data=st.lists(
