@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from filingstrata.operators.joins import splittable_join
 from filingstrata.operators.ranks import exact_quantiles
 
-# Default accuracy of percentile_approx: the rank error is at most group size / accuracy.
+# Default accuracy of percentile_approx: the rank error is at most group size / accuracy, and none
+# below half the accuracy.
 ACCURACY = 10_000
 
 
@@ -27,7 +28,7 @@ class Fill:
     """How one column is filled.
 
     ``statistic``  "mode" (ties go to the smallest value) or "median" (lower of two middle values)
-    ``measure``    what a median is taken of, when not the column itself
+    ``measure``    expression of the column that a median is taken of, when not the column itself
     ``render``     turns the median back into the column's type
     ``global_mode``  fill what the groups leave over with the most frequent value after group filling
     """
@@ -68,8 +69,8 @@ def fill_from_groups(
     """Fill NULLs of each ``Fill.column`` with its statistic over rows that agree in ``by``.
 
     Non-null values, the number of rows and the column order stay as they are. NULL in ``by``
-    belongs to no group. Medians use the mergeable quantile sketch (exact up to ``accuracy``), or an
-    exact distributed rank selection with ``exact_median``. ``rare_gaps`` tells that most groups miss
+    belongs to no group. Medians use the mergeable quantile sketch (exact for groups of fewer than
+    ``accuracy / 2`` values), or an exact distributed rank selection with ``exact_median``. ``rare_gaps`` tells that most groups miss
     nothing: medians are then taken only of rows in groups that do, found by a semi join.
     """
     by = list(by)
@@ -91,7 +92,7 @@ def fill_from_groups(
 
     fillable = _any_null(targets) & _none_null(by)
     gaps = df.filter(fillable)
-    # The whole condition can be NULL-free: isNull and isNotNull never return NULL.
+    # Null tests are never NULL themselves, so every row is in exactly one of the two parts.
     untouched = df.filter(~fillable)
 
     # With one target every gap row misses it, so the statistic alone is the value. A later filter
