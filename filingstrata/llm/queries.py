@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import tokens
+from . import ngram_lm, tokens
 from .common import table
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under a Kneser-Ney model of nine tenths of them."""
+    return ngram_lm.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 50k byte-level vocabulary."""
     import public_tokenizers
@@ -15,5 +20,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op10_token_counts,)}
+QUERIES = {f.__name__: f for f in (op5_lm_scoring, op10_token_counts)}
 ORACLES: dict[str, str] = {}
