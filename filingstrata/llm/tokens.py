@@ -169,7 +169,7 @@ def piece_table(texts: DataFrame, path: str, classes: Broadcast) -> DataFrame:
     return distinct.mapInArrow(pieces, "hash long, n long, pieces int")
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int = 1024, frequent: int = 300_000) -> DataFrame:
+def count_tokens(docs: DataFrame, path: str, limit: int = 1024, frequent: int = 1_000_000) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (more than ``limit`` tokens) of each row of ``docs``.
 
     One pass makes the table of distinct pre-tokens, which the tokenizer sees once each. A second pass
@@ -185,7 +185,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, frequent: int =
     rows = docs.select("doc_id", "text")
     classes = spark.sparkContext.broadcast(char_classes())  # one byte a code point
     table = stage(piece_table(rows, path, classes), "pieces")
-    top = table.orderBy(F.desc("n"), "hash").limit(frequent).select("hash", "pieces").toPandas()
+    total = table.agg(F.sum("n")).first()[0] or 0
+    top = table.where(F.col("n") * frequent >= total).select("hash", "pieces").toPandas()
     order = np.argsort(top["hash"].to_numpy(np.int64).view(np.uint64))
     known = spark.sparkContext.broadcast(
         (top["hash"].to_numpy(np.int64).view(np.uint64)[order], top["pieces"].to_numpy(np.int64)[order])
