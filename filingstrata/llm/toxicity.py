@@ -239,7 +239,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 1000, folds: int
         rows = rows.sort_values(["doc_id", "text"])
         return pd.DataFrame({"model": [pickle.dumps(fit(rows["text"].tolist(), rows["toxic"].tolist()).__dict__)]})
 
-    fitted = sample.groupBy(F.lit(1)).applyInPandas(run, "model binary").first()
+    fitted = sample.groupBy().applyInPandas(run, "model binary").first()
     return Crf(**pickle.loads(fitted.model)) if fitted else Crf()
 
 
