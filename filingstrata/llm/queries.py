@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ngram_lm, tokens, toxicity
+from . import decontaminate, ngram_lm, tokens, toxicity
 from .common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item within its error budget, with the place."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxic spans and scores of every document."""
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -25,5 +30,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op5_lm_scoring, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op5_lm_scoring, op10_token_counts)}
 ORACLES: dict[str, str] = {}
