@@ -78,11 +78,12 @@ def grams(hashes: np.ndarray, width: int) -> np.ndarray:
     return value
 
 
-def numbered(df: DataFrame, group: list[str], order: Column, name: str, slices: int = 512) -> DataFrame:
+def numbered(df: DataFrame, group: list[str], order: Column, name: str, slices: int = 512, few_groups: bool = False) -> DataFrame:
     """Numbers the rows of each group from 0 in the order of ``order``, an even 64-bit hash.
 
-    A group is cut into ``slices`` ranges of the hash. Rows are numbered inside a range; ranges are
-    shifted by a running total over one row per range, so no task needs a whole group.
+    A group is cut into ``slices`` (a power of two) ranges of the hash. Rows are numbered inside a range;
+    ranges are shifted by a running total over one row per range, so no task needs a whole group.
+    ``few_groups``: the caller knows a bound of the groups, so that these totals may be broadcast.
     """
     cut = F.shiftrightunsigned("__order", 64 - slices.bit_length() + 1).cast("int")
     rows = df.withColumn("__order", order).withColumn("__slice", cut)
@@ -96,4 +97,5 @@ def numbered(df: DataFrame, group: list[str], order: Column, name: str, slices:
     same = ranked["__slice"] == shifts["__at"]
     for c, k in zip(group, keys):
         same = same & ranked[c].eqNullSafe(shifts[k])
+    shifts = F.broadcast(shifts) if few_groups else shifts
     return ranked.join(shifts, same).select(*df.columns, (F.col("__in") + F.col("__shift")).alias(name))

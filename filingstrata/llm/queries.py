@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_lm, tokens, toxicity
+from . import decontaminate, mixing, ngram_lm, tokens, toxicity
 from .common import table
 
 
@@ -23,6 +23,12 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score_corpus(table(spark, sf_dir, "documents"))
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in a mixture of its sources."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
+    return mixing.interleave(docs)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 50k byte-level vocabulary."""
     import public_tokenizers
@@ -30,5 +36,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op5_lm_scoring, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op5_lm_scoring, op8_source_mixing, op10_token_counts)}
 ORACLES: dict[str, str] = {}
