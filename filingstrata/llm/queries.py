@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, ngram_lm, tokens, toxicity
+from . import decontaminate, mixing, ngram_lm, tokens, toxicity, urls
 from .common import table
 
 
@@ -18,6 +18,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on the url of every page."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every document under a Kneser-Ney model of nine tenths of them."""
     return ngram_lm.score_corpus(table(spark, sf_dir, "documents"))
@@ -36,5 +41,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op5_lm_scoring, op8_source_mixing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op4_url_filter, op5_lm_scoring, op8_source_mixing, op10_token_counts)}
 ORACLES: dict[str, str] = {}
