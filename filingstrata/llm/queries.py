@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, ngram_lm, tokens, toxicity, urls
+from . import decontaminate, mixing, ngram_lm, preferences, tokens, toxicity, urls
 from .common import table
 
 
@@ -34,6 +35,20 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.interleave(docs)
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as the preferred one of a pair, with its prompt and both completions.
+
+    The arrays of text and mask are joined to one string each, so that rows compare as text.
+    """
+    done = preferences.format_pairs(preferences.pairs_by_next(table(spark, sf_dir, "conversations")))
+    mask = lambda c: F.concat_ws("", F.transform(c, lambda s: F.repeat(s["mask"].cast("string"), F.length(s["text"]))))
+    return done.select(
+        F.col("pair_id").alias("conv_id"), "n_prompt_turns", "prompt", "chosen_text", "rejected_text",
+        F.md5(mask("chosen")).alias("chosen_mask"), F.md5(mask("rejected")).alias("rejected_mask"),
+        "n_chosen_trained", "n_rejected_trained", "usable",
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 50k byte-level vocabulary."""
     import public_tokenizers
@@ -41,5 +56,48 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op4_url_filter, op5_lm_scoring, op8_source_mixing, op10_token_counts)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op4_url_filter, op5_lm_scoring, op8_source_mixing, op9_chat_formatting, op10_token_counts)}
+
+ORACLES = {
+    "op9_chat_formatting": """
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role NULLS FIRST, text NULLS FIRST) AS i,
+         count(*) OVER (PARTITION BY conv_id) AS n
+  FROM turns
+), finals AS (
+  SELECT conv_id - 1 AS conv_id, text AS other FROM numbered WHERE i = n
+), rejected AS (
+  SELECT a.conv_id, a.i, a.role, CASE WHEN a.i = a.n THEN f.other ELSE a.text END AS text
+  FROM numbered a LEFT JOIN finals f USING (conv_id) WHERE a.i < a.n OR f.conv_id IS NOT NULL
+), lengths AS (
+  SELECT a.conv_id, max(a.n) AS n,
+         coalesce(min(a.i) FILTER (WHERE r.i IS NULL OR coalesce(a.text, '') <> coalesce(r.text, '')), max(a.n) + 1) - 1 AS k
+  FROM numbered a LEFT JOIN rejected r ON a.conv_id = r.conv_id AND a.i = r.i GROUP BY a.conv_id
+), sides AS (
+  SELECT 'chosen' AS side, conv_id, i, role, text FROM numbered
+  UNION ALL SELECT 'rejected', conv_id, i, role, text FROM rejected
+), parts AS (
+  SELECT s.side, s.conv_id, s.i, l.k, '<|turn|>' || coalesce(role, '') || chr(10) AS head,
+         coalesce(text, '') || '<|end|>' || chr(10) AS body, coalesce(role, '') = 'assistant' AS answer
+  FROM sides s JOIN lengths l USING (conv_id)
+), done AS (
+  SELECT conv_id,
+    coalesce(string_agg(head || body, '' ORDER BY i) FILTER (WHERE side = 'chosen' AND i <= k), '') AS prompt,
+    coalesce(string_agg(head || body, '' ORDER BY i) FILTER (WHERE side = 'chosen' AND i > k), '') AS chosen_text,
+    coalesce(string_agg(head || body, '' ORDER BY i) FILTER (WHERE side = 'rejected' AND i > k), '') AS rejected_text,
+    md5(coalesce(string_agg(repeat('0', length(head)) || repeat(CASE WHEN answer THEN '1' ELSE '0' END, length(body)), '' ORDER BY i)
+        FILTER (WHERE side = 'chosen' AND i > k), '')) AS chosen_mask,
+    md5(coalesce(string_agg(repeat('0', length(head)) || repeat(CASE WHEN answer THEN '1' ELSE '0' END, length(body)), '' ORDER BY i)
+        FILTER (WHERE side = 'rejected' AND i > k), '')) AS rejected_mask,
+    coalesce(sum(length(body)) FILTER (WHERE side = 'chosen' AND i > k AND answer), 0)::BIGINT AS n_chosen_trained,
+    coalesce(sum(length(body)) FILTER (WHERE side = 'rejected' AND i > k AND answer), 0)::BIGINT AS n_rejected_trained
+  FROM parts GROUP BY conv_id
+)
+SELECT d.conv_id, l.k::INTEGER AS n_prompt_turns, prompt, chosen_text, rejected_text, chosen_mask, rejected_mask,
+       n_chosen_trained, n_rejected_trained, n_chosen_trained > 0 AND n_rejected_trained > 0 AS usable
+FROM done d JOIN lengths l USING (conv_id)
+""",
+}
+
