@@ -25,7 +25,7 @@ from .common import WordHashes, fold, mixed, words
 BEGIN, END = np.uint64(1), np.uint64(2)
 _FLUSH = 3_000_000  # tokens a task counts at once
 _BATCH = 400_000  # tokens scored at once
-_SAMPLE = 2_000  # documents that show which contexts are common; only the layout depends on them
+_SAMPLE = 64  # one row in so many shows which contexts are common; only the layout depends on them
 
 
 def _filesystem(folder: str) -> tuple[fs.FileSystem, str]:
@@ -212,7 +212,7 @@ def train(texts: DataFrame, order: int = 2, shards: int | None = None) -> Model:
     lower order counts the distinct n-grams that end in each of its own. All n-grams are kept.
     """
     spark = texts.sparkSession
-    shards = shards or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = new_folder(spark, "ngrams")
     system, path = _filesystem(folder)
     system.create_dir(path)
@@ -229,12 +229,12 @@ def train(texts: DataFrame, order: int = 2, shards: int | None = None) -> Model:
                     [pa.array(np.full(len(keys), width + 1)), pa.array(keys.view(np.int64)), pa.array(n)], ["order", "context", "n"]
                 )
 
-    sample = texts.orderBy(F.xxhash64("text")).limit(_SAMPLE).mapInArrow(contexts, "order long, context long, n long")
+    sample = texts.where(F.monotonically_increasing_id() % _SAMPLE == 0).mapInArrow(contexts, "order long, context long, n long")
     common = {k: np.zeros(0, np.uint64) for k in range(1, order + 1)}
     if order > 1:
         shares = sample.groupBy("order", "context").agg(F.sum("n").alias("n"))
         total = shares.groupBy("order").agg(F.sum("n").alias("total"))
-        often = shares.join(total, "order").where(F.col("n") * (8 * shards) >= F.col("total"))  # 8 * shards at most
+        often = shares.join(total, "order").where(F.col("n") * shards >= 2 * F.col("total"))  # half as many as shards
         for r in often.groupBy("order").agg(F.collect_list("context").alias("keys")).collect():
             common[r.order] = np.sort(np.array(r["keys"], np.int64).view(np.uint64))
 
@@ -270,7 +270,7 @@ def train(texts: DataFrame, order: int = 2, shards: int | None = None) -> Model:
         merged = stage(_merge(blocks, folder, width, width < order, common, shards), f"ngrams-{width}")
         numbers = merged.where("kind = 'sums'").selectExpr(*[f"sum(n[{k}]) n{k}" for k in range(7)]).first()
         spread = merged.where("kind = 'context'").groupBy("shard").agg(*[F.sum(F.col("n")[k]).alias(f"n{k}") for k in range(4)])
-        rows = spread.collect()  # 8 * shards at most
+        rows = spread.collect()  # half as many as shards
         keys = np.array([r.shard for r in rows], np.int64).view(np.uint64)
         at = np.argsort(keys)
         found[width] = (numbers, (keys[at], np.array([[r[f"n{k}"] for k in range(4)] for r in rows], np.int64).reshape(-1, 4)[at]))
