@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, ngram_lm, preferences, tokens, toxicity, urls
+from . import decontaminate, mixing, ngram_lm, passages, preferences, tokens, toxicity, urls
 from .common import table
 
 
@@ -19,6 +19,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of every document that repeat a passage of another one."""
+    return passages.find_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict on the url of every page."""
     return urls.judge(table(spark, sf_dir, "pages"))
@@ -56,7 +61,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op4_url_filter, op5_lm_scoring, op8_source_mixing, op9_chat_formatting, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_substring_dedup, op4_url_filter, op5_lm_scoring, op8_source_mixing, op9_chat_formatting, op10_token_counts)}
 
 ORACLES = {
     "op9_chat_formatting": """
