@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, neighbours, ngram_lm, passages, preferences, tokens, toxicity, urls
+from . import decontaminate, jaccard, mixing, neighbours, ngram_lm, passages, preferences, tokens, toxicity, urls
 from .common import table
 
 
@@ -34,6 +34,11 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score_corpus(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose sets of five-word shingles are at least 0.8 alike."""
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at a cosine of 0.93."""
     return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
@@ -66,7 +71,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_substring_dedup, op4_url_filter, op5_lm_scoring, op7_embedding_near_dedup, op8_source_mixing, op9_chat_formatting, op10_token_counts)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_toxicity, op3_substring_dedup, op4_url_filter, op5_lm_scoring,
+        op6_ngram_jaccard_join, op7_embedding_near_dedup, op8_source_mixing, op9_chat_formatting, op10_token_counts,
+    )
+}
 
 ORACLES = {
     "op9_chat_formatting": """
