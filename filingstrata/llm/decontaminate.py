@@ -132,21 +132,45 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06, least:
     null and empty ones match nothing, as do null and empty texts; long texts are searched whole.
     Repeated rows give repeated matches; ids may be null; other columns do no harm; no rows give none.
     """
+    kinds = {"doc_id": docs.schema["doc_id"].dataType.simpleString(), "item": benchmark.schema["item_id"].dataType.simpleString()}
+    shape = f"doc_id {kinds['doc_id']}, " + _SHAPE.format(item=kinds["item"])
+    out = None
+    for items in item_blocks(docs, benchmark, least):
+        found = docs.select("doc_id", "text").mapInArrow(_search(items, rate), shape)
+        out = found if out is None else out.union(found)
+    return out
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06, least: int = 20) -> DataFrame:
+    """The rows of ``docs`` that hold no test item, as they are; see :func:`find_leaks`."""
+
+    def without(items):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(items.value, rate) if items.value else None
+            for batch in batches:
+                texts = batch.column("text").to_pylist()
+                clean = [matcher is None or next(matcher.matches(plain(t)), None) is None for t in texts]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        return run
+
+    for items in item_blocks(docs, benchmark, least):
+        docs = docs.mapInArrow(without(items), docs.schema)
+    return docs
+
+
+def item_blocks(docs: DataFrame, benchmark: DataFrame, least: int) -> Iterator:
+    """The test items in broadcast blocks of about _BLOCK characters."""
     spark = docs.sparkSession
     known = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
     size = known.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-size // _BLOCK) or 1
     if blocks > 1:
         known = stage(known.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "items")
-    kinds = {"doc_id": docs.schema["doc_id"].dataType.simpleString(), "item": benchmark.schema["item_id"].dataType.simpleString()}
-    shape = f"doc_id {kinds['doc_id']}, " + _SHAPE.format(item=kinds["item"])
-    out = None
     for block in range(blocks):
         part = known.where(F.col("block") == block) if blocks > 1 else known
         items = [(r.item_id, p) for r in part.collect() if len(p := plain(r.text)) >= least]  # about _BLOCK characters
-        found = docs.select("doc_id", "text").mapInArrow(_search(spark.sparkContext.broadcast(items), rate), shape)
-        out = found if out is None else out.union(found)
-    return out
+        yield spark.sparkContext.broadcast(items)
 
 
 def _search(items, rate: float):

@@ -243,6 +243,32 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 1000, folds: int
     return Crf(**pickle.loads(fitted.model)) if fitted else Crf()
 
 
+def _scored(texts: list[str | None], tagger: Tagger) -> Iterator[tuple[str | None, np.ndarray]]:
+    """Each text with the probabilities of its tokens; texts are tagged in groups of bounded size."""
+    at = 0
+    while at < len(texts):
+        end, chars = at, 0
+        while end < len(texts) and (end == at or chars < 6 * _TOKENS):
+            chars += len(texts[end] or "")
+            end += 1
+        p, begin = tagger.tag(texts[at:end])
+        for k in range(end - at):
+            yield texts[at + k], p[begin[k] : begin[k + 1]]
+        at = end
+
+
+def without_toxic(docs: DataFrame, crf: Crf) -> DataFrame:
+    """The rows of ``docs`` with a score below 0.5, as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tagger = Tagger(crf)
+        for batch in batches:
+            scored = _scored(batch.column("text").to_pylist(), tagger)
+            yield batch.filter(pa.array([bool(len(p) == 0 or p.max() < 0.5) for _, p in scored], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def tag(docs: DataFrame, crf: Crf) -> DataFrame:
     """doc_id, score and spans (offset, length, words, probability) of each row.
 
@@ -254,19 +280,10 @@ def tag(docs: DataFrame, crf: Crf) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(crf)
         for batch in batches:
-            texts, at = batch.column("text").to_pylist(), 0
             scores, spans = [], []
-            while at < len(texts):
-                end, chars = at, 0
-                while end < len(texts) and (end == at or chars < 6 * _TOKENS):
-                    chars += len(texts[end] or "")
-                    end += 1
-                p, begin = tagger.tag(texts[at:end])
-                for k in range(end - at):
-                    own = p[begin[k] : begin[k + 1]]
-                    scores.append(float(own.max()) if len(own) else 0.0)
-                    spans.append(_spans(texts[at + k], own) if scores[-1] >= 0.5 else [])
-                at = end
+            for text, p in _scored(batch.column("text").to_pylist(), tagger):
+                scores.append(float(p.max()) if len(p) else 0.0)
+                spans.append(_spans(text, p) if scores[-1] >= 0.5 else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(spans, _SPANS)], ["doc_id", "score", "spans"]
             )
