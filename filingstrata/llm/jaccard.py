@@ -2,12 +2,13 @@
 
 The Jaccard distance obeys the triangle inequality. Documents meet in the Voronoi regions of pivots:
 
-1. Two sets that link share a shingle among the first few of each in one global order, rarest first. The
-   set of least hash that holds such a shingle is its pivot, so both sets of a pair have a pivot in
-   common. Sets without such a shingle are far from every pivot and link with nothing.
+1. Two sets that link share a shingle among the first few of each in one global order, rarest first, and
+   are of similar size. Of the sets of a size class that hold such a shingle, or of the next larger one,
+   that of least hash is the pivot, so both sets of a pair have a pivot in common. Sets without such a
+   shingle are far from every pivot and link with nothing.
 2. Each set is compared with its pivots. Sets within reach of a pivot link with it, and so belong together.
-3. What may be left in a region are pairs of different components whose distances to the pivot differ
-   by no more than the reach. Only these sets are taken on, in blocks of bounded size, and split again
+3. What may be left in a region are pairs of different components and similar size whose distances to
+   the pivot differ by no more than the reach. Only these sets are taken on, in blocks of bounded size, and split again
    by pivots of their own, with copies of those on a boundary, down to a few sets that are all compared.
 """
 
@@ -33,6 +34,8 @@ REACH = 1 - SHARE / 100 + 1e-9  # the distance within which sets link; the exact
 LEAF = 24  # sets that are all compared
 BLOCK = 256  # sets of a region that meet in one task
 PIVOTS = 6
+_STEP = 1.2500001  # between size classes: sets that link are in one class or in two neighbouring ones
+_BITS = 24  # of a key, that the filter of often shared keys looks at
 _FREQUENT = 2_000_000  # shingles whose frequency all tasks know, at most
 _HELD = 3_000_000  # shingles that a task counts at once
 _LEAST = 3  # documents of a task that make a shingle worth a report
@@ -137,6 +140,44 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return (high.astype(np.uint64) << np.uint64(16)) | low
 
 
+def size_class(size):
+    return F.floor(F.log(size) / np.log(_STEP)).cast("int")
+
+
+def _shared(keyed: DataFrame) -> DataFrame:
+    """(key, h, size) of the sets that share a key with another set.
+
+    Most shared keys have two sets, which their least and greatest hash name. Rows of the others are
+    read again, past a filter of 2 ** _BITS bits that leaves few rows of other keys.
+    """
+    spark = keyed.sparkSession
+    rows = keyed.where("doc_id is not null").select(F.explode("keys").alias("key"), "h", "size")
+    ends = rows.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b"), F.count("*").alias("n")).where("a <> b")
+    ends = stage(ends, "ends")
+    two = ends.where("n = 2").select("key", F.explode(F.array("a", "b")).alias("h"))
+    often = ends.where("n > 2").select("key")
+    slot = F.shiftrightunsigned("key", 32 - _BITS)
+    bits = often.groupBy(F.shiftrightunsigned(slot, 6).alias("word"))
+    bits = bits.agg(F.bit_or(F.expr("shiftleft(1L, key >>> {} & 63)".format(32 - _BITS))).alias("bits")).toPandas()
+    table = np.zeros(1 << (_BITS - 6), np.int64)
+    table[bits["word"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64)
+    known = spark.sparkContext.broadcast(table)
+
+    def past(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("keys")
+            keys = lists.values.to_numpy()
+            ends = lists.offsets.to_numpy()
+            keys = keys[ends[0] : ends[-1]]
+            slots = keys.view(np.uint32) >> np.uint32(32 - _BITS)
+            hit = np.flatnonzero(known.value[slots >> np.uint32(6)] >> (slots & np.uint32(63)).astype(np.int64) & 1)
+            owner = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(ends))[hit])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), batch.column("h").take(owner)], ["key", "h"])
+
+    passed = keyed.where("doc_id is not null and h is not null").select("h", "keys").mapInArrow(past, "key int, h long")
+    return two.union(passed.join(often, "key")).distinct()
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (doc_id, ...) with the set of each document's shingles as bytes."""
     known = docs.select("doc_id", "text").where("doc_id is not null")
@@ -239,11 +280,11 @@ def join_region(sets: list[np.ndarray], components: list, found: _Roots) -> list
 
 
 def _pivoted(pairs: DataFrame) -> DataFrame:
-    """Compares each set with its pivot: (pivot, h, rep, pivot_rep, common, sizes); rows hold both sets."""
+    """Compares each set with its pivot; rows hold both sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, sizes = [], []
             last, pivot = None, None
             for p, own, other in zip(batch.column("pivot").to_pylist(), batch.column("set").to_pylist(), batch.column("pivot_set").to_pylist()):
                 if p != last:
@@ -251,41 +292,45 @@ def _pivoted(pairs: DataFrame) -> DataFrame:
                 s = _unpacked(own)
                 common = _common(s, pivot)
                 rows.append((distance(common, len(s), len(pivot)), links(common, len(s), len(pivot))))
+                sizes.append(len(s))
             d, linked = list(zip(*rows)) or [(), ()]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("pivot", "h", "rep", "pivot_rep")), pa.array(d, pa.float64()), pa.array(linked, pa.bool_())],
-                ["pivot", "h", "rep", "pivot_rep", "distance", "linked"],
+                [*(batch.column(c) for c in ("pivot", "h", "rep", "pivot_rep")), pa.array(sizes, pa.int64()), pa.array(d, pa.float64()), pa.array(linked, pa.bool_())],
+                ["pivot", "h", "rep", "pivot_rep", "size", "distance", "linked"],
             )
 
     kind = pairs.schema["rep"].dataType.simpleString()
-    return pairs.mapInArrow(run, f"pivot long, h long, rep {kind}, pivot_rep {kind}, distance double, linked boolean")
+    return pairs.mapInArrow(run, f"pivot long, h long, rep {kind}, pivot_rep {kind}, size long, distance double, linked boolean")
 
 
 def _inside(docs: DataFrame, compared: DataFrame, roots: DataFrame) -> DataFrame:
     """Further links (a, b): between sets of a region that are in different components so far."""
     kind = compared.schema["rep"].dataType.simpleString()
-    named = compared.select("pivot", "pivot_rep", "h", "rep", "distance")
+    named = compared.select("pivot", "pivot_rep", "h", "rep", "size", "distance")
     known = roots.select(F.col("node").alias("rep"), F.col("root").alias("component"))
     named = named.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     heads = roots.select(F.col("node").alias("pivot_rep"), F.col("root").alias("head"))
     named = named.join(heads, "pivot_rep", "left").withColumn("foreign", F.col("component") != F.coalesce("head", "pivot_rep"))
-    named = stage(named.select("pivot", "h", "rep", "distance", "component", "foreign"), "regions")
+    named = stage(named.select("pivot", "h", "rep", "size", "distance", "component", "foreign"), "regions")
     strange = named.where("foreign").groupBy("pivot").agg(F.min("distance").alias("lo"), F.max("distance").alias("hi"))
     left = splittable_join(named, strange, ["pivot"], "inner")
     left = left.where((F.col("distance") >= F.col("lo") - REACH) & (F.col("distance") <= F.col("hi") + REACH))
-    size = left.groupBy("pivot").agg(F.count("*").alias("n"), F.min("component").alias("c1"), F.max("component").alias("c2"))
-    size = size.where("c1 <> c2").select("pivot", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    left = splittable_join(left.select("pivot", "h", "rep", "component"), size, ["pivot"], "inner")
+    # sets of one size class and the next
+    own = size_class(F.col("size"))
+    left = left.withColumn("class", F.explode(F.array(own, own - 1))).select("pivot", "class", "h", "rep", "component")
+    size = left.groupBy("pivot", "class").agg(F.count("*").alias("n"), F.min("component").alias("c1"), F.max("component").alias("c2"))
+    size = size.where("c1 <> c2").select("pivot", "class", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    left = splittable_join(left, size, ["pivot", "class"], "inner")
     left = stage(left.withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")), "unsolved")
-    spot = F.struct("pivot", "blocks", "block", "component")
+    spot = F.struct("pivot", "class", "blocks", "block", "component")
     wanted = stage(left.groupBy("h", "rep").agg(F.collect_list(spot).alias("spots")), "wanted")
     sets = _sets(docs, wanted.select(F.col("rep").alias("doc_id"), "h", "spots", F.col("rep").alias("id")))
     rows = sets.select("id", "set", F.explode("spots").alias("s")).select("id", "set", "s.*")
-    packed = rows.groupBy("pivot", "blocks", "block").agg(F.collect_list(F.struct("id", "component", "set")).alias("members"))  # about BLOCK
+    packed = rows.groupBy("pivot", "class", "blocks", "block").agg(F.collect_list(F.struct("id", "component", "set")).alias("members"))  # about BLOCK
     packed = stage(packed, "packed")
-    first = packed.select("pivot", "block", "members", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("with"))
-    second = packed.select("pivot", F.col("block").alias("with"), F.col("members").alias("others"))
-    met = first.join(second, ["pivot", "with"]).select("block", "with", "members", "others")
+    first = packed.select("pivot", "class", "block", "members", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("with"))
+    second = packed.select("pivot", "class", F.col("block").alias("with"), F.col("members").alias("others"))
+    met = first.join(second, ["pivot", "class", "with"]).select("block", "with", "members", "others")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,16 +356,19 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs))  # _FREQUENT * 16 bytes at most
     keyed = stage(_keyed(docs, frequent), "keyed")
-    reps = stage(keyed.where("h is not null and doc_id is not null").groupBy("h").agg(F.min("doc_id").alias("rep")), "reps")
-    rows = keyed.where("doc_id is not null").select(F.explode("keys").alias("key"), "h")
-    shared = rows.groupBy("key").agg(F.min("h").alias("pivot"), F.max("h").alias("other")).where("pivot <> other")
-    shared = stage(shared.select("key", "pivot"), "shared")
-    pairs = rows.join(shared, "key").where("h <> pivot").groupBy("h", "pivot").agg(F.lit(1).alias("one")).select("h", "pivot")
+    named = keyed.where("h is not null and doc_id is not null")
+    reps = stage(named.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size")), "reps")
+    shared = splittable_join(_shared(keyed), reps.select("h", "size"), ["h"], "inner")
+    own = size_class(F.col("size"))
+    shared = stage(shared.select("key", "h", F.explode(F.array(own, own - 1)).alias("class")), "shared")
+    pivots = shared.groupBy("key", "class").agg(F.min("h").alias("pivot"), F.max("h").alias("other")).where("pivot <> other")
+    pivots = stage(pivots.drop("other"), "pivots")
+    pairs = shared.join(pivots, ["key", "class"]).where("h <> pivot").select("h", "pivot").distinct()
     pairs = stage(pairs, "pairs")
     # each set goes to its pivots once, a pivot's own set to its region
     mine = pairs.groupBy("h").agg(F.collect_list("pivot").alias("pivots"))
     heads = pairs.select(F.col("pivot").alias("h")).distinct().withColumn("head", F.lit(True))
-    wanted = mine.join(heads, "h", "full").join(reps, "h")
+    wanted = mine.join(heads, "h", "full").join(reps.drop("size"), "h")
     wanted = stage(wanted.select(F.col("rep").alias("doc_id"), "h", F.col("rep").alias("id"), "pivots", F.coalesce("head", F.lit(False)).alias("head")), "wanted")
     sets = stage(_sets(docs, wanted), "sets")
     members = sets.where("pivots is not null").select("h", F.col("id").alias("rep"), "set", F.explode("pivots").alias("pivot"))
@@ -332,7 +380,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     if not more.isEmpty():
         kept = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = stage(connected(kept.union(more)), "roots")
-    named = reps.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
+    named = reps.drop("size").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     named = stage(named.select("h", F.coalesce("root", "rep").alias("component")), "named")
     done = keyed.select("doc_id", F.col("size").alias("n_shingles"), "h").join(named, "h", "left")
     return done.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
