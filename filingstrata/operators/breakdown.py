@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from filingstrata.operators.ranks import exact_quantiles
+from filingstrata.operators.ranks import quantiles_of_counts
+from filingstrata.sources.staging import stage
 
 # The quartiles of a numeric summary.
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -79,18 +82,54 @@ def top_values(df: DataFrame, by: str, n: int = 20) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per numeric column: count, mean, stddev, min, exact lower quartiles, max."""
-    numbers = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
-    values = numbers.unpivot([], list(columns), "column", "value")
-    moments = values.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.mean("value").alias("mean"),
-        F.stddev("value").alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    """One row per column: count, mean, stddev, min, exact lower quartiles, max.
+
+    The order statistics are exact in the column's own type and written as text, so columns of
+    several types share a table and no digit is lost; text columns are ordered as text. Mean and
+    standard deviation come from the distances to the mean's neighbourhood, so they hold for large
+    decimals too; they are NULL for text. The input is read once: values are counted, the counts
+    staged, and everything follows from them.
+    """
+    sets = [[name] for name in columns]
+    counts = df.groupingSets(sets, *columns).agg(
+        F.count(F.lit(1)).alias("__n"), *[F.grouping(name).alias(f"__rolled_{name}") for name in columns]
     )
-    quartiles = exact_quantiles(values, "value", QUARTILES, by=["column"])
-    # One row per column on both sides.
-    return moments.join(quartiles, "column", "left").select(
-        "column", "count", "mean", "stddev", "min", *QUARTILES, "max"
+    counts = stage(counts, "summary")
+    rows = []
+    for name in columns:
+        mine = counts.filter((F.col(f"__rolled_{name}") == 0) & F.col(name).isNotNull())
+        rows.append(_summary_of(mine.select(F.col(name).alias("value"), "__n"), name))
+    return reduce(lambda left, right: left.unionByName(right), rows)
+
+
+def _summary_of(counted: DataFrame, column: str) -> DataFrame:
+    """The summary row of one column from its distinct values and their counts."""
+    value, n = F.col("value"), F.col("__n")
+    ends = counted.agg(F.sum("__n").alias("count"), F.min("value").alias("low"), F.max("value").alias("max"))
+    numeric = isinstance(counted.schema["value"].dataType, NumericType)
+    # Differences are taken in the column's type; only what is left of them becomes a double.
+    near = counted.crossJoin(F.broadcast(ends.select("low"))) if numeric else None
+    if numeric:
+        apart = (value - F.col("low")).cast("double")
+        first = near.agg((F.sum(apart * n) / F.sum("__n")).alias("shift"))
+        spread = near.crossJoin(F.broadcast(first)).agg(
+            F.first("shift").alias("shift"),
+            F.sqrt(F.try_divide(F.sum((apart - F.col("shift")) ** 2 * n), F.sum("__n") - 1)).alias("stddev"),
+        )
+        mean = F.col("low").cast("double") + F.col("shift")
+        ends = ends.crossJoin(F.broadcast(spread))
+    else:
+        ends = ends.withColumn("stddev", F.lit(None).cast("double"))
+        mean = F.lit(None).cast("double")
+    quartiles = quantiles_of_counts(counted, "value", QUARTILES)
+    # One row on both sides.
+    joined = ends.crossJoin(F.broadcast(quartiles))
+    return joined.select(
+        F.lit(column).alias("column"),
+        F.coalesce("count", F.lit(0)).alias("count"),
+        mean.alias("mean"),
+        "stddev",
+        F.col("low").cast("string").alias("min"),
+        *[F.col(name).cast("string").alias(name) for name in QUARTILES],
+        F.col("max").cast("string").alias("max"),
     )

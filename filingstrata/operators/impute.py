@@ -18,10 +18,6 @@ from pyspark.sql import functions as F
 from filingstrata.operators.joins import splittable_join
 from filingstrata.operators.ranks import exact_quantiles
 
-# Default accuracy of percentile_approx: the rank error is at most group size / accuracy, and none
-# below half the accuracy.
-ACCURACY = 10_000
-
 
 @dataclass(frozen=True)
 class Fill:
@@ -62,16 +58,17 @@ def fill_from_groups(
     df: DataFrame,
     by: Sequence[str],
     fills: Sequence[Fill],
-    accuracy: int = ACCURACY,
-    exact_median: bool = False,
+    sketch: int | None = None,
     rare_gaps: bool = False,
 ) -> DataFrame:
     """Fill NULLs of each ``Fill.column`` with its statistic over rows that agree in ``by``.
 
     Non-null values, the number of rows and the column order stay as they are. NULL in ``by``
-    belongs to no group. Medians use the mergeable quantile sketch (exact for groups of fewer than
-    ``accuracy / 2`` values), or an exact distributed rank selection with ``exact_median``. ``rare_gaps`` tells that most groups miss
-    nothing: medians are then taken only of rows in groups that do, found by a semi join.
+    belongs to no group. Medians come from an exact distributed rank selection, which stages counted
+    values while the plan is built; they depend on the rows only, however these are partitioned.
+    ``sketch`` takes approximate medians instead, from sketches of that accuracy: their ranks may be
+    off by group size / accuracy, and partitioning may change them. ``rare_gaps`` tells that most
+    groups miss nothing: medians are then taken only of rows in groups that do, found by a semi join.
     """
     by = list(by)
     targets = [fill.column for fill in fills]
@@ -84,10 +81,10 @@ def fill_from_groups(
         parts.append(_group_modes(counts, by, modes))
     if medians:
         rows = _rows_of_gappy_groups(df, by, targets) if rare_gaps else df.filter(_none_null(by))
-        if exact_median:
+        if sketch is None:
             parts.append(_exact_medians(rows, by, medians))
         else:
-            parts.append(_sketched_medians(rows, by, medians, accuracy))
+            parts.append(_sketched_medians(rows, by, medians, sketch))
     lookup = reduce(lambda left, right: left.join(right, by, "full_outer"), parts)
 
     fillable = _any_null(targets) & _none_null(by)
@@ -133,8 +130,7 @@ def impute_median(
     df: DataFrame,
     columns: Sequence[str],
     by: Sequence[str],
-    accuracy: int = ACCURACY,
-    exact: bool = False,
+    sketch: int | None = None,
     flag: str | None = None,
     rare_gaps: bool = False,
 ) -> DataFrame:
@@ -144,7 +140,7 @@ def impute_median(
     or no value in the whole group.
     """
     fills = [Fill(name, "median") for name in columns]
-    result = fill_from_groups(df, by, fills, accuracy, exact_median=exact, rare_gaps=rare_gaps)
+    result = fill_from_groups(df, by, fills, sketch, rare_gaps=rare_gaps)
     if flag is not None:
         # A group without statistics leaves its NULLs unfilled; a group with them leaves none.
         result = result.withColumn(flag, _any_null([*by, *columns]))
@@ -226,10 +222,17 @@ def _sketched_medians(
 
 
 def _exact_medians(rows: DataFrame, by: list[str], fills: Sequence[Fill]) -> DataFrame:
-    parts = [
-        exact_quantiles(rows.select(*by, _measure(fill).alias("__v")), "__v", {fill.found: 0.5}, by)
-        for fill in fills
-    ]
+    """One rank selection for all measures of a type, with the column as one more part of the key."""
+    measured = rows.select(*by, *[_measure(fill).alias(fill.found) for fill in fills])
+    kinds: dict[str, list[str]] = {}
+    for fill in fills:
+        kinds.setdefault(measured.schema[fill.found].dataType.simpleString(), []).append(fill.found)
+    parts = []
+    for names in kinds.values():
+        values = measured.select(*by, *names).unpivot(by, names, "__of", "__v")
+        found = exact_quantiles(values, "__v", {"__median": 0.5}, [*by, "__of"])
+        medians = [F.max(F.when(F.col("__of") == name, F.col("__median"))).alias(name) for name in names]
+        parts.append(found.groupBy(*by).agg(*medians))
     return reduce(lambda left, right: left.join(right, by, "full_outer"), parts)
 
 

@@ -113,9 +113,16 @@ def exact_quantiles(
     ``value`` are ignored. Equal values are counted before the range partitioning and a group may
     span any number of slices, so neither a frequent value nor a large group is one task's work.
     """
-    by = list(by)
     present = df.filter(F.col(value).isNotNull())
     counted = present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
+    return quantiles_of_counts(counted, value, probabilities, by)
+
+
+def quantiles_of_counts(
+    counted: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()
+) -> DataFrame:
+    """As :func:`exact_quantiles`, of distinct non-null values with their counts in ``__n``."""
+    by = list(by)
     slices = sorted_slices(counted, [*by, value], "quantiles")
 
     inside = Window.partitionBy("__slice", *by).orderBy("__at")

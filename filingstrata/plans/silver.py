@@ -12,7 +12,6 @@ from filingstrata import schemas
 from filingstrata.functions.dates import repaired_date, ymd_to_date
 from filingstrata.functions.text import digits_only, title_from_camel
 from filingstrata.operators.impute import (
-    ACCURACY,
     Fill,
     fill_from_groups,
     impute_default,
@@ -20,6 +19,7 @@ from filingstrata.operators.impute import (
     impute_mode,
 )
 from filingstrata.operators.ranks import dense_key
+from filingstrata.sources.staging import stage
 
 # Imputation fallbacks and cleaning limits.
 DEFAULT_FYE = "1231"
@@ -30,7 +30,9 @@ QTRS_BELOW = 5
 
 
 def _padded(width: int):
-    return lambda number: F.lpad(number.cast("string"), width, "0")
+    """The number with leading zeros; NULL where it does not fit into so many digits."""
+    fits = lambda number: number.between(0, 10**width - 1)
+    return lambda number: F.when(fits(number), F.lpad(number.cast("string"), width, "0"))
 
 
 def _all_present(names: list[str]) -> Column:
@@ -65,15 +67,15 @@ def impute_sub_categories(sub: DataFrame) -> DataFrame:
     return fill_from_groups(sub, ["cik"], _category_fills())
 
 
-def impute_sub_dates(sub: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+def impute_sub_dates(sub: DataFrame, sketch: int | None = None) -> DataFrame:
     """fy and fp by the company's mode, period and fye by its median, then the defaults."""
-    return _date_defaults(fill_from_groups(sub, ["cik"], _date_fills(), accuracy=accuracy))
+    return _date_defaults(fill_from_groups(sub, ["cik"], _date_fills(), sketch))
 
 
-def impute_submissions(sub: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+def impute_submissions(sub: DataFrame, sketch: int | None = None) -> DataFrame:
     """Both submission imputations with one lookup and one join; the columns do not interact."""
     fills = _category_fills() + _date_fills()
-    return _date_defaults(fill_from_groups(sub, ["cik"], fills, accuracy=accuracy))
+    return _date_defaults(fill_from_groups(sub, ["cik"], fills, sketch))
 
 
 def _date_defaults(sub: DataFrame) -> DataFrame:
@@ -81,7 +83,7 @@ def _date_defaults(sub: DataFrame) -> DataFrame:
     defaults = {
         "fye": F.lit(DEFAULT_FYE),
         "fy": F.year(ymd_to_date(F.col("filed"))),
-        "period": _padded(8)(F.col("fy") * 10000 + _number("fye")),
+        "period": _padded(8)(F.col("fy").cast("long") * 10000 + _number("fye")),
         "fp": F.lit(DEFAULT_FP),
     }
     return impute_default(sub, defaults)
@@ -105,25 +107,31 @@ def clean_submissions(sub: DataFrame) -> DataFrame:
 
 
 def impute_num_values(
-    num: DataFrame, sub: DataFrame, accuracy: int = ACCURACY, exact: bool = False
+    num: DataFrame, sub: DataFrame, sketch: int | None = None
 ) -> DataFrame:
     """Fill value with the median of its (company, tag, unit) and add ``is_value_incomplete``.
 
     The flag is true for rows whose group has no value at all and for rows without a complete group
     key, that is without a company or a unit.
+
+    The numbers meet their companies once, and the joined rows are staged while the plan is built:
+    gaps, untouched rows and medians are filtered scans of them. Rows without tag or unit have no group
+    and stay out of the join.
     """
+    grouped = F.col("tag").isNotNull() & F.col("uom").isNotNull()
     owners = sub.select("adsh", "cik")
-    with_company = num.join(owners, "adsh", "left").select(*num.columns, "cik")
+    with_company = num.filter(grouped).join(owners, "adsh", "left").select(*num.columns, "cik")
     filled = impute_median(
-        with_company,
+        stage(with_company, "numbers"),
         ["value"],
         ["cik", "tag", "uom"],
-        accuracy=accuracy,
-        exact=exact,
+        sketch,
         flag="is_value_incomplete",
         rare_gaps=True,
     )
-    return filled.drop("cik")
+    return filled.drop("cik").unionByName(
+        num.filter(~grouped).withColumn("is_value_incomplete", F.lit(True))
+    )
 
 
 def clean_numbers(
@@ -186,14 +194,18 @@ def clean_tags(tag: DataFrame, dedup: bool = True) -> DataFrame:
     return numbered.filter(~F.col("abstract")).select(*schemas.TAGS)
 
 
-def silver_submissions(sub: DataFrame) -> DataFrame:
-    return clean_submissions(impute_submissions(sub))
+def silver_submissions(sub: DataFrame, sketch: int | None = None) -> DataFrame:
+    return clean_submissions(impute_submissions(sub, sketch))
 
 
 def silver_numbers(
-    num: DataFrame, sub: DataFrame, min_year: int = FIRST_YEAR, max_year: int | None = None
+    num: DataFrame,
+    sub: DataFrame,
+    min_year: int = FIRST_YEAR,
+    max_year: int | None = None,
+    sketch: int | None = None,
 ) -> DataFrame:
-    return clean_numbers(impute_num_values(num, sub), min_year, max_year)
+    return clean_numbers(impute_num_values(num, sub, sketch), min_year, max_year)
 
 
 def silver_presentations(pre: DataFrame) -> DataFrame:

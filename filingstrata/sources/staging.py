@@ -1,17 +1,26 @@
 """Intermediates written once to the folder the cluster shares.
 
 Used where a step needs the very same rows twice (for example positions inside range partitions),
-and where lineage should end: the written files survive the loss of any executor.
+and where lineage should end: the written files survive the loss of any executor. Staging runs a
+job while the plan is built, so operators that stage are eager in that part.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from filingstrata.sources import files
+
 _FOLDER_KEY = "spark.checkpoint.dir"
+_ONE_MACHINE = re.compile(r"local(\[.*\])?")
+_open: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,7 +30,7 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not _ONE_MACHINE.fullmatch(context.master):
             raise ValueError(f"set {_FOLDER_KEY} to a folder every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="filingstrata-"))
     return context.getCheckpointDir().rstrip("/")
@@ -35,5 +44,20 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a scan of the written files."""
     path = new_folder(df.sparkSession, label)
+    if (staged := _open.get()) is not None:
+        staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes what is staged inside once the block ends; results must be written before that."""
+    staged: list[str] = []
+    token = _open.set(staged)
+    try:
+        yield
+    finally:
+        _open.reset(token)
+        for path in staged:
+            files.delete(spark, path)

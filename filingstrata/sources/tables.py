@@ -7,6 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from filingstrata.sources import files
 
 
 @dataclass(frozen=True)
@@ -29,17 +32,16 @@ class Lake:
         table: str,
         quarters: Sequence[tuple[int, int]] | None = None,
         merge_schema: bool = False,
+        schema: StructType | None = None,
     ) -> DataFrame:
         """Scan a table. ``quarters`` keeps the named (year, quarter) partitions only.
 
         With ``merge_schema`` the footers of all files are read first, and a column that appears in
-        later quarters reads as NULL in the earlier ones.
+        later quarters reads as NULL in the earlier ones. A declared ``schema`` needs no footer.
         """
-        df = (
-            self.spark.read.format(self.format)
-            .option("mergeSchema", merge_schema)
-            .load(self.path(layer, table))
-        )
+        reader = self.spark.read.format(self.format).option("mergeSchema", merge_schema)
+        reader = reader if schema is None else reader.schema(schema)
+        df = reader.load(self.path(layer, table))
         if quarters is None:
             return df
         wanted = F.lit(False)
@@ -59,38 +61,50 @@ class Lake:
         writer.save(self.path(layer, table))
 
     def exists(self, layer: str, table: str) -> bool:
-        folder = self._hadoop_path(layer, table)
-        return self._file_system(folder).exists(folder)
-
-    def drop(self, layer: str, table: str) -> None:
-        """Remove a table's files and its catalog entry, if there are any."""
-        if self._has_schema(layer):
-            self.spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{table}`")
-        folder = self._hadoop_path(layer, table)
-        self._file_system(folder).delete(folder, True)
-
-    def register(self, layer: str, table: str) -> str:
-        """Make a written table readable as ``spark.table("layer.table")``."""
-        name = f"`{layer}`.`{table}`"
-        location = f"{self.root.rstrip('/')}/{layer}"
-        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{layer}` LOCATION '{location}'")
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        return files.exists(self.spark, self.path(layer, table))
+
+    def drop(self, layer: str, table: str, schema: str | None = None) -> None:
+        """Remove a table's files and its catalog entry, if there are any.
+
+        An entry of that name that is no external table at this lake's path is someone else's: then
+        ValueError is raised and nothing is removed.
+        """
+        if self.is_registered(layer, table, schema):
+            self._require_own(layer, table, schema)
+            self.spark.sql(f"DROP TABLE {self._name(layer, table, schema)}")
+        files.delete(self.spark, self.path(layer, table))
+
+    def register(self, layer: str, table: str, schema: str | None = None) -> str:
+        """Make a written table readable as ``spark.table("<schema>.<table>")``; the layer names the schema.
+
+        An earlier entry is replaced only if it is an external table at this lake's path; otherwise
+        ValueError is raised and the entry stays.
+        """
+        name = self._name(layer, table, schema)
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema or layer}`")
+        if self.is_registered(layer, table, schema):
+            self._require_own(layer, table, schema)
+            self.spark.sql(f"DROP TABLE {name}")  # external: the files stay
         self.spark.catalog.createTable(name, path=self.path(layer, table), source=self.format)
         if {"year", "quarter"} <= set(self._partition_columns(name)):
             self.spark.catalog.recoverPartitions(name)
-        return f"{layer}.{table}"
+        return f"{schema or layer}.{table}"
+
+    def is_registered(self, layer: str, table: str, schema: str | None = None) -> bool:
+        catalog = self.spark.catalog
+        return catalog.databaseExists(schema or layer) and catalog.tableExists(f"{schema or layer}.{table}")
 
-    def is_registered(self, layer: str, table: str) -> bool:
-        return self._has_schema(layer) and self.spark.catalog.tableExists(f"{layer}.{table}")
+    def _name(self, layer: str, table: str, schema: str | None) -> str:
+        return f"`{schema or layer}`.`{table}`"
 
-    def _has_schema(self, layer: str) -> bool:
-        return self.spark.catalog.databaseExists(layer)
+    def _require_own(self, layer: str, table: str, schema: str | None) -> None:
+        name = self._name(layer, table, schema)
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name in ('Type', 'Location')")
+        found = {row.col_name: row.data_type for row in described.collect()}  # two rows
+        own = files.qualified(self.spark, self.path(layer, table))
+        at = found.get("Location")
+        if found.get("Type") != "EXTERNAL" or not at or files.qualified(self.spark, at) != own:
+            raise ValueError(f"{name} is not this lake's table at {own}")
 
     def _partition_columns(self, name: str) -> list[str]:
         return [column.name for column in self.spark.catalog.listColumns(name) if column.isPartition]
-
-    def _hadoop_path(self, layer: str, table: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
-
-    def _file_system(self, folder):
-        return folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())

@@ -61,6 +61,13 @@ def test_rows_without_gaps_are_not_shuffled(plans):
     assert "Exchange" not in untouched and "FileScan" in untouched
 
 
+def test_numbers_meet_their_companies_once(spark, stored):
+    """The join is staged; medians, gaps and the rest read it without another shuffle by filing."""
+    text = plan(silver.silver_numbers(stored["num"], stored["sub"]))
+    assert "hashpartitioning(adsh" not in text
+    assert "bronze/sub" not in text
+
+
 def test_filters_and_columns_reach_the_scan(plans):
     assert re.search(r"PushedFilters: \[[^\]]*IsNotNull\(value\)", plans["num"])
     lookup = [line for line in plans["pre"].splitlines() if "ReadSchema" in line][-1]

@@ -91,10 +91,27 @@ def test_summary(reported):
     found = {row.column: row for row in numeric_summary(reported, ["value", "qtrs"]).collect()}
     value = found["value"]
     assert (value["count"], value.mean, value.min, value.p25, value.p50, value.p75, value.max) == (
-        4, 1.25, -2.0, -2.0, 1.0, 3.0, 3.0,
+        4, 1.25, "-2.0000", "-2.0000", "1.0000", "3.0000", "3.0000",
     )
     assert value.stddev == pytest.approx(2.3629, abs=1e-4)
-    assert found["qtrs"]["count"] == 7
+    assert found["qtrs"]["count"] == 7 and found["qtrs"].p50 == "1"
+
+
+def test_summary_keeps_all_digits(spark):
+    data = [(Decimal(f"12345678901234567{k}.1234"), word) for k, word in ((8, "b"), (9, None), (10, "a"))]
+    data = [(Decimal("123456789012345678.1234") + k, word) for k, (_, word) in enumerate(data)]
+    table = spark.createDataFrame(data, "d decimal(28,4), t string")
+    number, text = numeric_summary(table, ["d", "t"]).collect()
+    assert (number.min, number.p50, number.max) == (
+        "123456789012345678.1234", "123456789012345679.1234", "123456789012345680.1234",
+    )
+    assert number.stddev == 1.0
+    assert (text["count"], text.mean, text.stddev, text.min, text.max) == (2, None, None, "a", "b")
+
+
+def test_summary_of_nothing(spark):
+    (row,) = numeric_summary(spark.createDataFrame([], "v int"), ["v"]).collect()
+    assert tuple(row) == ("v", 0, None, None, None, None, None, None, None)
 
 
 @pytest.mark.parametrize(

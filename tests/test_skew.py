@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from filingstrata.operators.impute import Fill, fill_from_groups
 from filingstrata.operators.ranks import exact_quantiles, sorted_slices
-from filingstrata.plans import gold
+from filingstrata.plans import gold, silver
 from helpers import plan
 
 ROWS = 120_000
@@ -49,11 +49,37 @@ def test_filling_a_hot_group(small_partitions, rare_gaps):
     found = {row.id: row.v for row in filled.collect()}
     assert len(found) == ROWS
     hot = sorted(i % 1001 for i in range(0, ROWS, 3) if i % 5 != 0)
-    # The sketch is off by at most group size / accuracy ranks.
-    middle = (len(hot) - 1) // 2
-    assert hot[middle - 4] <= found[0] <= hot[middle + 4] and found[0] == found[15]
-    # The join with the medians, and before it the search for groups that miss something.
-    assert plan(filled).count("skew=true") >= 1 + rare_gaps
+    assert found[0] == hot[(len(hot) - 1) // 2] and found[0] == found[15]
+    assert plan(filled).count("skew=true") >= 1
+    # Without staged medians one plan has the join with them and the search for groups that miss something.
+    sketched = fill_from_groups(table, ["k"], [Fill("v", "median")], sketch=10_000, rare_gaps=rare_gaps)
+    sketched.collect()
+    assert plan(sketched).count("skew=true") >= 1 + rare_gaps
+
+
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_median_does_not_depend_on_partitions(spark, parts):
+    """One group of 100,000 values with a few gaps."""
+    values = [i * 7919 % 100_003 for i in range(100_000)]
+    table = spark.range(100_000).select(
+        "id", F.lit("g").alias("k"), F.when(F.col("id") % 1000 != 0, F.col("id") * 7919 % 100_003).alias("v")
+    )
+    present = sorted(v for i, v in enumerate(values) if i % 1000)
+    filled = fill_from_groups(table.repartition(parts), ["k"], [Fill("v", "median")])
+    found = filled.filter("id % 1000 = 0").select("v").distinct().collect()
+    assert [row.v for row in found] == [present[(len(present) - 1) // 2]]
+
+
+def test_statements_of_a_hot_tag(small_partitions):
+    """A third of the presentations show one tag: the join with the tags' modes is split."""
+    shown = small_partitions.range(0, ROWS, 1, 16).select(
+        F.col("id").cast("string").alias("adsh"), _key("t").cast("string").alias("tag"),
+        F.when(F.col("id") % 2 == 0, F.lit("BS")).alias("stmt"),
+    )
+    filled = silver.impute_pre_statements(shown)
+    found = filled.collect()
+    assert len(found) == ROWS and all(row.stmt == "BS" for row in found if row.tag == "0")
+    assert "LeftOuter" in plan(filled) and "skew=true" in plan(filled)
 
 
 def test_exact_median_of_a_hot_group(small_partitions):

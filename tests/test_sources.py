@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from filingstrata import schemas
-from filingstrata.sources.bronze import conform, ingest, ingest_all, with_year_quarter
-from filingstrata.sources.staging import shared_folder, stage
+from filingstrata.plans import layers
+from filingstrata.sources.bronze import cast_failures, conform, ingest, ingest_all, unread, with_year_quarter
+from filingstrata.sources.staging import shared_folder, stage, staging_scope
 from filingstrata.sources.tables import Lake
 from filingstrata.sources.text import read_tsv, write_tsv
 from helpers import frame, plan, rows
@@ -114,6 +116,39 @@ def test_column_types_may_change_between_quarters(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("together", [True, False])
+def test_undeclared_columns_may_change_their_type(spark, tmp_path, together):
+    raw, lake = str(tmp_path / "raw"), Lake(spark, str(tmp_path / "lake"))
+    for stem, (schema, _) in schemas.INPUTS.items():
+        for folder, extra in (("2024q1", F.lit("x")), ("2024q2", F.lit(7))):
+            row = frame(spark, schema, [schema.names[0]], [(folder,)]).withColumn("extra", extra)
+            row.write.parquet(f"{raw}/{folder}/{stem}.parquet")
+    for quarters in [None] if together else [[(2024, 1)], [(2024, 2)]]:
+        ingest_all(lake, raw, quarters=quarters)
+    tags = lake.read("bronze", "tags", merge_schema=True)
+    assert rows(tags, "tag", "extra") == [("2024q1", "x"), ("2024q2", "7")]
+    layers.refine(lake)
+    assert lake.read("silver", "submissions").count() == 0  # no company named
+
+
+def test_quarter_is_read_below_the_root(spark, tmp_path):
+    raw, lake = str(tmp_path / "feed1999" / "seq1"), Lake(spark, str(tmp_path / "lake"))
+    frame(spark, schemas.TAG_SCHEMA, ["tag"], [("T",)]).write.parquet(f"{raw}/2024q2/tag.parquet")
+    ingest(lake, raw, "tag")
+    assert rows(lake.read("bronze", "tags"), "tag", "year", "quarter") == [("T", 2024, 2)]
+
+
+def test_account_of_what_is_left_out(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    _write_raw(spark, raw)
+    found = {(path.rsplit("/raw/")[1], reason) for path, reason in rows(unread(spark, raw))}
+    assert found == {("2024q1/notes.parquet", "no such input"), ("archive/tag.parquet", "no quarter named")}
+    texts = spark.createDataFrame([("1", "x"), ("n/a", None), (None, "2.5")], "qtrs string, value string")
+    assert rows(cast_failures(texts, schemas.NUM_SCHEMA)) == [("qtrs", 1), ("value", 1)]
+    with pytest.raises(FileNotFoundError):
+        ingest(Lake(spark, str(tmp_path / "lake")), raw, "tag", quarters=[(1900, 1)])
+
+
 def test_blanks_in_folder_names(spark, tmp_path):
     raw, lake = str(tmp_path / "raw"), Lake(spark, str(tmp_path / "lake"))
     frame(spark, schemas.TAG_SCHEMA, ["tag"], [("T",)]).write.parquet(f"{raw}/2024 Q2/tag.parquet")
@@ -136,6 +171,24 @@ def test_table_life_cycle(spark, tmp_path):
         lake.read("silver_life", "t")
 
 
+def test_tables_of_others_are_left_alone(spark, tmp_path):
+    lake, other = Lake(spark, str(tmp_path / "it's")), Lake(spark, str(tmp_path / "other"))
+    spark.sql("CREATE SCHEMA IF NOT EXISTS others")
+    spark.range(3).write.mode("overwrite").saveAsTable("others.managed")
+    other.write(spark.range(4), "others", "external")
+    other.register("others", "external")
+    for name, count in (("managed", 3), ("external", 4)):
+        lake.write(spark.range(9), "others", name)
+        for act in (lake.register, lake.drop):
+            with pytest.raises(ValueError, match="not this lake's table"):
+                act("others", name)
+        assert spark.table(f"others.{name}").count() == count and lake.read("others", name).count() == 9
+    assert spark.table(lake.register("others", "external", schema="mine")).count() == 9
+    lake.drop("others", "external", schema="mine")
+    other.drop("others", "external")
+    spark.sql("DROP TABLE others.managed")
+
+
 def test_partitioned_table_by_name(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     stamped = spark.range(4).select("id", F.lit(2024).alias("year"), (F.col("id") % 2 + 1).cast("int").alias("quarter"))
@@ -163,3 +216,10 @@ def test_staged_rows_live_in_the_shared_folder(spark):
     staged = stage(spark.range(10), "test")
     assert rows(staged) == [(i,) for i in range(10)]
     assert all(folder in name for name in staged.inputFiles())
+
+
+def test_staged_folders_go_with_their_scope(spark):
+    with staging_scope(spark):
+        inside = stage(spark.range(3), "scoped")
+        (path, *_) = inside.inputFiles()
+    assert not Path(path.removeprefix("file://").removeprefix("file:")).exists()

@@ -61,7 +61,7 @@ def sub_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _unless(gap(13, 60), year_end).alias("fye"),
         F.concat(F.lit(" "), "o_orderstatus", F.lit(" ")).alias("form"),
         _unless(gap(11, 70), _ymd(day)).alias("period"),
-        _unless(gap(17, 80), F.year(day)).alias("fy"),
+        F.when(_divides(401, order), F.lit(300_000)).otherwise(_unless(gap(17, 80), F.year(day))).alias("fy"),
         _unless(gap(19, 90), F.concat(F.lit("Q"), F.quarter(day).cast("string"))).alias("fp"),
         _ymd(filed).alias("filed"),
         day.alias("accepted"),
@@ -78,8 +78,10 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def num_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as reported values."""
-    unreported = ((F.col("l_orderkey") + F.col("l_linenumber")) % 4 == 0) | (
-        (F.col("l_partkey") + F.col("l_suppkey")) % 5 == 0
+    unreported = (
+        ((F.col("l_orderkey") + F.col("l_linenumber")) % 4 == 0)
+        | ((F.col("l_partkey") + F.col("l_suppkey")) % 5 == 0)
+        | ((F.length("p_name") % 3 == 0) & _divides(2, "l_orderkey"))
     )
     return _items(spark, sf_dir).select(
         _filing("l_orderkey").alias("adsh"),
@@ -89,8 +91,8 @@ def num_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_linenumber") - 1).cast("int").alias("qtrs"),
         _unless(_divides(23, "l_partkey"), F.col("l_returnflag")).alias("uom"),
         _unless(unreported, F.col("l_extendedprice").cast("decimal(28,4)")).alias("value"),
-        F.lit(2001).alias("year"),
-        F.lit(1).alias("quarter"),
+        (2001 - F.col("l_orderkey") % 3).cast("int").alias("year"),
+        (1 + F.col("l_orderkey") % 4).cast("int").alias("quarter"),
     )
 
 

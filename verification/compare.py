@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -62,7 +63,8 @@ def main(arguments: list[str]) -> int:
     spark = build_session(
         "compare",
         "local[8]",
-        {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
+        {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
+         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = open_tables(sf_dir)

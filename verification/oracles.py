@@ -115,7 +115,8 @@ _PARTS: dict[str, str] = {
                ' ' || o_orderstatus || ' ' AS form,
                CASE WHEN o_orderkey % 11 = 0 OR o_custkey % 70 = 0 THEN NULL
                     ELSE {_ymd('o_orderdate')} END AS period,
-               CASE WHEN o_orderkey % 17 = 0 OR o_custkey % 80 = 0 THEN NULL
+               CASE WHEN o_orderkey % 401 = 0 THEN 300000
+                    WHEN o_orderkey % 17 = 0 OR o_custkey % 80 = 0 THEN NULL
                     ELSE CAST(year(o_orderdate) AS INTEGER) END AS fy,
                CASE WHEN o_orderkey % 19 = 0 OR o_custkey % 90 = 0 THEN NULL
                     ELSE 'Q' || CAST(quarter(o_orderdate) AS VARCHAR) END AS fp,
@@ -133,8 +134,9 @@ _PARTS: dict[str, str] = {
                CAST(l_linenumber - 1 AS INTEGER) AS qtrs,
                CASE WHEN l_partkey % 23 = 0 THEN NULL ELSE l_returnflag END AS uom,
                CASE WHEN (l_orderkey + l_linenumber) % 4 = 0 OR (l_partkey + l_suppkey) % 5 = 0
+                      OR (length(p_name) % 3 = 0 AND l_orderkey % 2 = 0)
                     THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(28, 4)) END AS value,
-               2001 AS year, 1 AS quarter
+               CAST(2001 - l_orderkey % 3 AS INTEGER) AS year, CAST(1 + l_orderkey % 4 AS INTEGER) AS quarter
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "tag_raw": f"""
         SELECT {_camel('p_name')} AS tag, p_brand AS version,
@@ -199,7 +201,8 @@ _PARTS: dict[str, str] = {
              LEFT JOIN sub_medians m USING (cik)""",
     "sub_dates": """
         SELECT adsh, fye, CAST(fy AS INTEGER) AS fy, fp,
-               coalesce(period, lpad(CAST(fy * 10000 + CAST(fye AS INTEGER) AS VARCHAR), 8, '0')) AS period
+               coalesce(period, CASE WHEN CAST(fy AS BIGINT) * 10000 + CAST(fye AS INTEGER) < 100000000
+                   THEN lpad(CAST(CAST(fy AS BIGINT) * 10000 + CAST(fye AS INTEGER) AS VARCHAR), 8, '0') END) AS period
         FROM sub_date_groups""",
     "sub_imputed": f"""
         SELECT {_SUB_KEPT} FROM (
@@ -351,11 +354,11 @@ def _summary(column: str) -> str:
         SELECT '{column}' AS "column", count({column}) AS "count",
                round(avg(CAST({column} AS DOUBLE)), 3) AS mean,
                round(stddev_samp(CAST({column} AS DOUBLE)), 3) AS stddev,
-               CAST(min({column}) AS DOUBLE) AS min,
-               CAST(quantile_disc({column}, 0.25) AS DOUBLE) AS p25,
-               CAST(quantile_disc({column}, 0.5) AS DOUBLE) AS p50,
-               CAST(quantile_disc({column}, 0.75) AS DOUBLE) AS p75,
-               CAST(max({column}) AS DOUBLE) AS max
+               CAST(min({column}) AS VARCHAR) AS min,
+               CAST(quantile_disc({column}, 0.25) AS VARCHAR) AS p25,
+               CAST(quantile_disc({column}, 0.5) AS VARCHAR) AS p50,
+               CAST(quantile_disc({column}, 0.75) AS VARCHAR) AS p75,
+               CAST(max({column}) AS VARCHAR) AS max
         FROM num_raw"""
 
 
@@ -392,6 +395,14 @@ _CHECKS: dict[str, str] = {
     "sub_clean": _clean_sub("sub_raw"),
     "num_median_impute": "SELECT * FROM num_imputed",
     "num_median_impute_exact": "SELECT * FROM num_imputed",
+    "num_median_large_groups": """
+        SELECT adsh, 'all' AS tag, version, ddate, qtrs, CASE WHEN uom IS NOT NULL THEN 'all' END AS uom,
+               coalesce(value, CASE WHEN uom IS NOT NULL THEN found END) AS value, year, quarter,
+               uom IS NULL OR cik IS NULL OR found IS NULL AS is_value_incomplete
+        FROM num_owned LEFT JOIN (
+            SELECT cik % 2 AS half, quantile_disc(value, 0.5) AS found
+            FROM num_owned WHERE value IS NOT NULL AND uom IS NOT NULL AND cik IS NOT NULL GROUP BY cik % 2)
+          ON cik % 2 = half""",
     "num_clean": _clean_num("(SELECT *, uom IS NULL AS is_value_incomplete FROM num_raw)"),
     "pre_stmt_impute": "SELECT * FROM pre_statements",
     "pre_label_impute": f"SELECT * REPLACE (coalesce(plabel, {_title('tag')}) AS plabel) FROM pre_raw",
@@ -409,6 +420,7 @@ _CHECKS: dict[str, str] = {
     "dim_date": "SELECT * FROM dates",
     "dim_pre": "SELECT * FROM positions",
     "fact_financial": f"SELECT {_FACT} FROM fact",
+    "layers_in_two_runs": f"SELECT {_FACT} FROM fact",
     "fact_with_units": f"SELECT {_FACT}, uom, qtrs FROM fact",
     "profile_numbers": _profile("num_raw", _NUM_TYPES),
     "profile_submissions": _profile("sub_raw", _SUB_TYPES),
@@ -421,7 +433,7 @@ _CHECKS: dict[str, str] = {
         FROM ({_profile('pre_raw', _PRE_TYPES)})""",
     "nulls_by_tag": _nulls("num_raw", "tag"),
     "nulls_by_tag_ge50": _nulls(
-        "(SELECT concat_ws('/', tag, version, uom) AS tag, value FROM num_raw)",
+        "num_raw",
         "tag",
         "AND round(count(*) FILTER (value IS NULL) / count(*) * 100, 2) >= 50",
     ),

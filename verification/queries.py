@@ -20,7 +20,7 @@ from filingstrata.operators.breakdown import (
 )
 from filingstrata.operators.checks import check_not_null
 from filingstrata.operators.profile import profile, profile_flags
-from filingstrata.plans import gold, silver
+from filingstrata.plans import gold, layers, silver
 from filingstrata.sources.bronze import conform, ingest, with_year_quarter
 from filingstrata.sources.staging import new_folder
 from filingstrata.sources.tables import Lake
@@ -116,7 +116,14 @@ def num_median_impute(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def num_median_impute_exact(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.impute_num_values(num_raw(spark, sf), sub_raw(spark, sf), exact=True)
+    return silver.impute_num_values(num_raw(spark, sf), sub_raw(spark, sf))
+
+
+def num_median_large_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Two companies, one tag and one unit: groups of thousands of values."""
+    unit = F.when(F.col("uom").isNotNull(), F.lit("all"))
+    numbers = num_raw(spark, sf).withColumns({"tag": F.lit("all"), "uom": unit})
+    return silver.impute_num_values(numbers, sub_raw(spark, sf).withColumn("cik", F.col("cik") % 2))
 
 
 def num_clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,6 +207,21 @@ def fact_with_units(spark: SparkSession, sf: str) -> DataFrame:
     return _fact(spark, sf, keep=["uom", "qtrs"])
 
 
+def layers_in_two_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact after a run over the first quarters and one over the others; the first stay."""
+    raw, lake = new_folder(spark, "raw"), Lake(spark, new_folder(spark, "lake"))
+    inputs = {"sub": sub_raw, "num": num_raw, "tag": tag_raw, "pre": pre_raw}
+    for stem, rows in inputs.items():
+        named = rows(spark, sf).withColumn("folder", F.concat("year", F.lit("q"), "quarter"))
+        named.drop("year", "quarter").write.partitionBy("folder").parquet(f"{raw}/stem={stem}")
+    every = [(year, quarter) for year in range(1990, 2011) for quarter in (1, 2, 3, 4)]
+    options = {"pattern": "stem={stem}/folder=*", "add_missing": True, **YEARS}
+    # every input has rows of 2001q1
+    for quarters in ([q for q in every if q >= (2001, 1)], [q for q in every if q <= (2001, 1)]):
+        layers.run(lake, raw, quarters, **options)
+    return lake.read("gold", "fact_financial").select(*schemas.FACT)
+
+
 # ---- exploration --------------------------------------------------------------------------------
 
 
@@ -234,9 +256,7 @@ def nulls_by_tag(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nulls_by_tag_ge50(spark: SparkSession, sf: str) -> DataFrame:
-    # Hardly any plain tag misses half of its values here, so tags are told apart by version and unit.
-    numbers = num_raw(spark, sf).withColumn("tag", F.concat_ws("/", "tag", "version", "uom"))
-    return null_breakdown(numbers, "value", "tag", min_pct=50)
+    return null_breakdown(num_raw(spark, sf), "value", "tag", min_pct=50)
 
 
 def nulls_by_uom(spark: SparkSession, sf: str) -> DataFrame:
@@ -337,11 +357,11 @@ QUERIES: dict[str, Query] = {
     for query in (
         conform_numbers, path_year_quarter, bronze_roundtrip,
         sub_mode_impute, sub_date_impute, sub_clean,
-        num_median_impute, num_median_impute_exact, num_clean,
+        num_median_impute, num_median_impute_exact, num_median_large_groups, num_clean,
         pre_stmt_impute, pre_label_impute, pre_clean,
         tag_clean, tag_clean_all_quarters, impute_residuals,
         dim_tag, dim_submission, dim_company, dim_date, dim_pre,
-        fact_financial, fact_with_units,
+        fact_financial, fact_with_units, layers_in_two_runs,
         profile_numbers, profile_submissions, profile_tags, profile_presentations, profile_flag_rules,
         nulls_by_tag, nulls_by_tag_ge50, nulls_by_uom, nulls_by_qtrs,
         uom_share, tag_custom_share, custom_usage, qtrs_freq, datatype_freq, value_summary,
