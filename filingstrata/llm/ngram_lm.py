@@ -23,7 +23,7 @@ from filingstrata.sources.staging import new_folder, stage
 from .common import WordHashes, fold, mixed, words
 
 BEGIN, END = np.uint64(1), np.uint64(2)
-_FLUSH = 3_000_000  # tokens a task counts at once
+_FLUSH = 2_000_000  # tokens a task counts at once
 _BATCH = 400_000  # tokens scored at once
 _SAMPLE = 64  # one row in so many shows which contexts are common; only the layout depends on them
 
@@ -212,7 +212,7 @@ def train(texts: DataFrame, order: int = 2, shards: int | None = None) -> Model:
     lower order counts the distinct n-grams that end in each of its own. All n-grams are kept.
     """
     spark = texts.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or 3 * int(spark.conf.get("spark.sql.shuffle.partitions")) // 2
     folder = new_folder(spark, "ngrams")
     system, path = _filesystem(folder)
     system.create_dir(path)
