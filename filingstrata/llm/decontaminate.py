@@ -10,6 +10,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from filingstrata.sources.staging import stage
 
@@ -136,7 +137,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06, least:
     shape = f"doc_id {kinds['doc_id']}, " + _SHAPE.format(item=kinds["item"])
     out = None
     for items in item_blocks(docs, benchmark, least):
-        found = docs.select("doc_id", "text").mapInArrow(_search(items, rate), shape)
+        found = docs.select("doc_id", "text").mapInArrow(_search(items, rate, to_arrow_type(benchmark.schema["item_id"].dataType)), shape)
         out = found if out is None else out.union(found)
     return out
 
@@ -173,7 +174,7 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame, least: int) -> Iterator:
         yield spark.sparkContext.broadcast(items)
 
 
-def _search(items, rate: float):
+def _search(items, rate: float, key_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(items.value, rate) if items.value else None
         for batch in batches:
@@ -184,7 +185,7 @@ def _search(items, rate: float):
                     rows.append((k, key, distance, budget, *_original(text, start, end)))
             columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(columns[0], pa.int64())), pa.array(columns[1], None if rows else pa.int64()),
+                [batch.column("doc_id").take(pa.array(columns[0], pa.int64())), pa.array(columns[1], key_type),
                  *(pa.array(c, t) for c, t in zip(columns[2:], (pa.int32(), pa.int32(), pa.int64(), pa.int64())))],
                 ["doc_id", "item_id", "distance", "budget", "offset", "length"],
             )

@@ -7,9 +7,12 @@ The Jaccard distance obeys the triangle inequality. Documents meet in the Vorono
    that of least hash is the pivot, so both sets of a pair have a pivot in common. Sets without such a
    shingle are far from every pivot and link with nothing.
 2. Each set is compared with its pivots. Sets within reach of a pivot link with it, and so belong together.
-3. What may be left in a region are pairs of different components and similar size whose distances to
-   the pivot differ by no more than the reach. Only these sets are taken on, in blocks of bounded size, and split again
-   by pivots of their own, with copies of those on a boundary, down to a few sets that are all compared.
+   How many of their first shingles two sets share bounds their distance from below, so most far pairs
+   are told from these alone.
+3. What may be left in a region are pairs of different components and similar size. Of these, sets that by
+   their first shingles may be near another one are taken on in blocks of bounded size, and split again
+   by pivots of their own, with copies of those that the triangle inequality puts on a boundary, down to
+   a few sets that are all compared.
 """
 
 from __future__ import annotations
@@ -279,49 +282,102 @@ def join_region(sets: list[np.ndarray], components: list, found: _Roots) -> list
     return out
 
 
+def _reach_of(common, a, b, first_a, first_b):
+    """The most shingles that sets of ``a`` and ``b`` can share when ``common`` of their first ones agree.
+
+    The prefix that ends first in the global order counts wholly; behind it at most the rest of its set
+    is common. Two more make up for first shingles of one hash.
+    """
+    return F.least(common + 2 + F.greatest(a - first_a, b - first_b), a, b)
+
+
+def _may_link(most, a, b):
+    return 100 * most >= SHARE * (a + b - most)
+
+
+def _near_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs of set and pivot that may link by their first shingles."""
+    own = reps.select("h", "size", "keys")
+    other = reps.select(F.col("h").alias("pivot"), F.col("size").alias("pivot_size"), F.col("keys").alias("pivot_keys"))
+    both = pairs.join(own, "h").join(other, "pivot")
+    common = F.size(F.array_intersect("keys", "pivot_keys"))
+    most = _reach_of(common, F.col("size"), F.col("pivot_size"), F.size("keys"), F.size("pivot_keys"))
+    return both.where(_may_link(most, F.col("size"), F.col("pivot_size"))).select("h", "pivot")
+
+
+def _promising(regions: DataFrame, reps: DataFrame) -> DataFrame:
+    """Rows of ``regions`` (pivot, class, h, component) that may link with one of another component there."""
+    size = regions.groupBy("pivot", "class").agg(F.count("*").alias("n"), F.min("component").alias("c1"), F.max("component").alias("c2"))
+    size = size.where("c1 <> c2").select("pivot", "class", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    left = splittable_join(regions, size, ["pivot", "class"], "inner")
+    left = stage(left.withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")), "unsolved")
+    named = left.join(reps.select("h", "size", "keys"), "h")
+    packed = named.groupBy("pivot", "class", "blocks", "block").agg(
+        F.collect_list(F.struct("h", F.xxhash64("component").alias("component"), "size", "keys")).alias("members")
+    )  # about BLOCK
+    packed = stage(packed, "firsts")
+    first = packed.select("pivot", "class", "block", "members", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("with"))
+    second = packed.select("pivot", "class", F.col("block").alias("with"), F.col("members").alias("others"))
+    met = first.join(second, ["pivot", "class", "with"]).select("pivot", "class", "block", "with", "members", "others")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: tuple[list, list, list] = ([], [], [])
+            for row in batch.to_pylist():
+                members = row["members"] + (row["others"] if row["with"] != row["block"] else [])
+                sizes = np.array([m["size"] for m in members])
+                firsts = np.array([len(m["keys"]) for m in members])
+                component = np.array([m["component"] for m in members])
+                flat = np.concatenate([np.array(m["keys"], np.int64) for m in members])
+                keys, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+                column = np.cumsum(n > 1) - 1
+                holds = np.zeros((len(members), int((n > 1).sum())), np.float32)
+                shared = n[at] > 1
+                holds[np.repeat(np.arange(len(members)), firsts)[shared], column[at[shared]]] = 1
+                rest = sizes - firsts
+                most = holds @ holds.T + 2 + np.maximum(rest[:, None], rest)
+                most = np.minimum(np.minimum(most, sizes[:, None]), sizes)
+                near = (100 * most >= SHARE * (sizes[:, None] + sizes - most)) & (component[:, None] != component)
+                for k in np.flatnonzero(near.any(1)):
+                    for column_of, value in zip(out, (row["pivot"], row["class"], members[k]["h"])):
+                        column_of.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64())], ["pivot", "class", "h"]
+            )
+
+    kept = met.mapInArrow(run, "pivot long, class int, h long").distinct()
+    return left.select("pivot", "class", "h", "rep", "component").join(kept, ["pivot", "class", "h"])
+
+
 def _pivoted(pairs: DataFrame) -> DataFrame:
-    """Compares each set with its pivot; rows hold both sets."""
+    """(a, b, linked) of each set and its pivot; rows of ``pairs`` hold both sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, sizes = [], []
+            linked = []
             last, pivot = None, None
             for p, own, other in zip(batch.column("pivot").to_pylist(), batch.column("set").to_pylist(), batch.column("pivot_set").to_pylist()):
                 if p != last:
                     last, pivot = p, _unpacked(other)
                 s = _unpacked(own)
-                common = _common(s, pivot)
-                rows.append((distance(common, len(s), len(pivot)), links(common, len(s), len(pivot))))
-                sizes.append(len(s))
-            d, linked = list(zip(*rows)) or [(), ()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("pivot", "h", "rep", "pivot_rep")), pa.array(sizes, pa.int64()), pa.array(d, pa.float64()), pa.array(linked, pa.bool_())],
-                ["pivot", "h", "rep", "pivot_rep", "size", "distance", "linked"],
-            )
+                linked.append(links(_common(s, pivot), len(s), len(pivot)))
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("pivot_rep"), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     kind = pairs.schema["rep"].dataType.simpleString()
-    return pairs.mapInArrow(run, f"pivot long, h long, rep {kind}, pivot_rep {kind}, size long, distance double, linked boolean")
+    return pairs.mapInArrow(run, f"a {kind}, b {kind}, linked boolean")
 
 
-def _inside(docs: DataFrame, compared: DataFrame, roots: DataFrame) -> DataFrame:
+def _inside(docs: DataFrame, pairs: DataFrame, reps: DataFrame, roots: DataFrame) -> DataFrame:
     """Further links (a, b): between sets of a region that are in different components so far."""
-    kind = compared.schema["rep"].dataType.simpleString()
-    named = compared.select("pivot", "pivot_rep", "h", "rep", "size", "distance")
+    kind = reps.schema["rep"].dataType.simpleString()
     known = roots.select(F.col("node").alias("rep"), F.col("root").alias("component"))
-    named = named.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    heads = roots.select(F.col("node").alias("pivot_rep"), F.col("root").alias("head"))
-    named = named.join(heads, "pivot_rep", "left").withColumn("foreign", F.col("component") != F.coalesce("head", "pivot_rep"))
-    named = stage(named.select("pivot", "h", "rep", "size", "distance", "component", "foreign"), "regions")
-    strange = named.where("foreign").groupBy("pivot").agg(F.min("distance").alias("lo"), F.max("distance").alias("hi"))
-    left = splittable_join(named, strange, ["pivot"], "inner")
-    left = left.where((F.col("distance") >= F.col("lo") - REACH) & (F.col("distance") <= F.col("hi") + REACH))
-    # sets of one size class and the next
-    own = size_class(F.col("size"))
-    left = left.withColumn("class", F.explode(F.array(own, own - 1))).select("pivot", "class", "h", "rep", "component")
-    size = left.groupBy("pivot", "class").agg(F.count("*").alias("n"), F.min("component").alias("c1"), F.max("component").alias("c2"))
-    size = size.where("c1 <> c2").select("pivot", "class", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    placed = pairs.join(reps.select("h", "rep", "size"), "h").join(known, "rep", "left")
+    own = size_class(F.col("size"))  # sets of one size class and the next meet
+    regions = placed.select("pivot", F.explode(F.array(own, own - 1)).alias("class"), "h", "rep", F.coalesce("component", "rep").alias("component"))
+    left = stage(_promising(stage(regions, "regions"), reps), "promising")
+    size = left.groupBy("pivot", "class").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     left = splittable_join(left, size, ["pivot", "class"], "inner")
-    left = stage(left.withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")), "unsolved")
+    left = left.withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
     spot = F.struct("pivot", "class", "blocks", "block", "component")
     wanted = stage(left.groupBy("h", "rep").agg(F.collect_list(spot).alias("spots")), "wanted")
     sets = _sets(docs, wanted.select(F.col("rep").alias("doc_id"), "h", "spots", F.col("rep").alias("id")))
@@ -339,7 +395,8 @@ def _inside(docs: DataFrame, compared: DataFrame, roots: DataFrame) -> DataFrame
                 got = join_region([_unpacked(m["set"]) for m in members], [m["component"] for m in members], _Roots())
                 if got:
                     ids = [m["id"] for m in members]
-                    pairs = [pa.array([ids[p[side]] for p in got], pa.int64()).cast(batch.schema.field("members").type.value_type.field("id").type) for side in (0, 1)]
+                    same = batch.schema.field("members").type.value_type.field("id").type
+                    pairs = [pa.array([ids[p[side]] for p in got], same) for side in (0, 1)]
                     yield pa.RecordBatch.from_arrays(pairs, ["a", "b"])
 
     return met.mapInArrow(run, f"a {kind}, b {kind}")
@@ -357,7 +414,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs))  # _FREQUENT * 16 bytes at most
     keyed = stage(_keyed(docs, frequent), "keyed")
     named = keyed.where("h is not null and doc_id is not null")
-    reps = stage(named.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size")), "reps")
+    reps = named.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("keys").alias("keys"))
+    reps = stage(reps, "reps")
     shared = splittable_join(_shared(keyed), reps.select("h", "size"), ["h"], "inner")
     own = size_class(F.col("size"))
     shared = stage(shared.select("key", "h", F.explode(F.array(own, own - 1)).alias("class")), "shared")
@@ -365,22 +423,23 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     pivots = stage(pivots.drop("other"), "pivots")
     pairs = shared.join(pivots, ["key", "class"]).where("h <> pivot").select("h", "pivot").distinct()
     pairs = stage(pairs, "pairs")
+    near = stage(_near_pairs(pairs, reps), "near")
     # each set goes to its pivots once, a pivot's own set to its region
-    mine = pairs.groupBy("h").agg(F.collect_list("pivot").alias("pivots"))
-    heads = pairs.select(F.col("pivot").alias("h")).distinct().withColumn("head", F.lit(True))
-    wanted = mine.join(heads, "h", "full").join(reps.drop("size"), "h")
+    mine = near.groupBy("h").agg(F.collect_list("pivot").alias("pivots"))
+    heads = near.select(F.col("pivot").alias("h")).distinct().withColumn("head", F.lit(True))
+    wanted = mine.join(heads, "h", "full").join(reps.select("h", "rep"), "h")
     wanted = stage(wanted.select(F.col("rep").alias("doc_id"), "h", F.col("rep").alias("id"), "pivots", F.coalesce("head", F.lit(False)).alias("head")), "wanted")
     sets = stage(_sets(docs, wanted), "sets")
     members = sets.where("pivots is not null").select("h", F.col("id").alias("rep"), "set", F.explode("pivots").alias("pivot"))
     middle = sets.where("head").select(F.col("h").alias("pivot"), F.col("id").alias("pivot_rep"), F.col("set").alias("pivot_set"))
     compared = stage(_pivoted(members.join(middle, "pivot")), "compared")
-    stars = compared.where("linked").select(F.col("rep").alias("a"), F.col("pivot_rep").alias("b"))
+    stars = compared.where("linked").select("a", "b")
     roots = stage(connected(stars), "roots")
-    more = stage(_inside(docs, compared, roots), "more")
+    more = stage(_inside(docs, pairs, reps, roots), "more")
     if not more.isEmpty():
         kept = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = stage(connected(kept.union(more)), "roots")
-    named = reps.drop("size").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
+    named = reps.select("h", "rep").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     named = stage(named.select("h", F.coalesce("root", "rep").alias("component")), "named")
     done = keyed.select("doc_id", F.col("size").alias("n_shingles"), "h").join(named, "h", "left")
     return done.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
