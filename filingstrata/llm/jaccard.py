@@ -184,7 +184,8 @@ def _shared(keyed: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (doc_id, ...) with the set of each document's shingles as bytes."""
     known = docs.select("doc_id", "text").where("doc_id is not null")
-    joined = known.join(wanted, "doc_id")
+    # what is wanted grows with the documents, so no size of it calls for a broadcast
+    joined = known.join(wanted.hint("merge"), "doc_id")
     rest = [c for c in wanted.columns if c != "doc_id"]
     shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema if f.name != "doc_id")
 
