@@ -136,6 +136,31 @@ def test_passages_across_documents(spark):
     assert left[6].text.split() == words[:a] + words[b:] and left[6].n_chars == len(left[6].text) and cut.count() == len(rows) - 1
 
 
+@pytest.mark.parametrize("shape", [(60, 20, 15), (60, 24, 20), (55, 28, 55), (60, 20, 20, 20, 60)])
+def test_exact_passages_stand_beside_anything(spark, shape):
+    """``shape``: words that are the same and words that are not, in turn."""
+    rng = random.Random(str(shape))
+    text, rows, planted = _texts(rng, 10**6), [], {}
+    for k in range(0, 60, 2):
+        source, own, at = text(30), text(30), 30
+        for j, n in enumerate(shape):
+            if j % 2 == 0:
+                run = text(n)
+                if n >= 45:
+                    planted.setdefault(k + 1, []).append((at, at + n))
+            source += run if j % 2 == 0 else text(n)
+            own += run if j % 2 == 0 else text(n)
+            at += n
+        rows += [(k, " ".join(source + text(30))), (k + 1, " ".join(own + text(30)))]
+    found = defaultdict(list)
+    for r in passages.find_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r.identity >= 0.8 and r.source_id == r.doc_id - 1 and r.n_words >= 45
+        found[r.doc_id].append((r.start, r.start + r.n_words))
+    for doc, places in planted.items():
+        for a, b in places:
+            assert any(x <= a and b <= y for x, y in found[doc]), (doc, a, b, found[doc])
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert passages.find_passages(empty).count() == 0
