@@ -161,6 +161,26 @@ def test_exact_passages_stand_beside_anything(spark, shape):
             assert any(x <= a and b <= y for x, y in found[doc]), (doc, a, b, found[doc])
 
 
+@pytest.mark.parametrize("lines", [(20, 20, 20), (30, 30), (44, 16), (15, 15, 15)])
+def test_passages_of_lines_that_stand_alone_before(spark, lines):
+    """Exact passages whose lines each stand in an earlier document of their own."""
+    rng = random.Random(str(lines))
+    text, rows, planted = _texts(rng, 10**6), [], {}
+    for k in range(40):
+        parts = [text(n) for n in lines]
+        rows += [(1000 * j + k, " ".join(text(20) + part + text(20))) for j, part in enumerate(parts)]
+        rows += [(10_000 + 2 * k + j, " ".join(text(30) + sum(parts, []) + text(30))) for j in range(2)]
+        planted[10_001 + 2 * k] = (30, 30 + sum(lines))
+    for k in range(40 * (sum(lines) == 45)):  # documents that hold all words but the last, and all but the first
+        part = text(45)
+        rows += [(4000 + k, " ".join(text(20) + part[:-1] + text(20))), (5000 + k, " ".join(text(20) + part[1:] + text(20)))]
+        rows += [(20_000 + 2 * k + j, " ".join(text(30) + part + text(30))) for j in range(2)]
+        planted[20_001 + 2 * k] = (30, 75)
+    found = {(r.doc_id, r.source_id, r.start, r.n_words) for r in passages.find_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    lost = [d for d, (a, b) in planted.items() if not any(x[0] == d and x[1] == d - 1 and x[2] <= a and b <= x[2] + x[3] for x in found)]
+    assert not lost
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert passages.find_passages(empty).count() == 0
