@@ -181,6 +181,20 @@ def test_passages_of_lines_that_stand_alone_before(spark, lines):
     assert not lost
 
 
+@pytest.mark.parametrize(("n", "every"), [(50, 8), (50, 6), (60, 5), (80, 0)])
+def test_fuzzy_passages_are_all_found(spark, n, every):
+    """Copies with each ``every``-th word changed, or (0) one word in six at random."""
+    rng = random.Random(n + every)
+    text, rows = _texts(rng, 10**6), []
+    for k in range(50):
+        passage = text(n)
+        changed = set(range(every - 1, n - 1, every)) if every else set(rng.sample(range(n), n // 6))
+        copy = [f"x{rng.randrange(10**6)}" if j in changed else w for j, w in enumerate(passage)]
+        rows += [(2 * k, " ".join(text(60) + passage + text(60))), (2 * k + 1, " ".join(text(60) + copy + text(60)))]
+    found = {r.doc_id for r in passages.find_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == set(range(1, 100, 2))
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert passages.find_passages(empty).count() == 0
