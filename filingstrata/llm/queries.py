@@ -30,8 +30,8 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log10 probability of every document under a Kneser-Ney model of nine tenths of them."""
-    return ngram_lm.score_corpus(table(spark, sf_dir, "documents"))
+    """Log10 probability of every document under a trigram Kneser-Ney model of nine tenths of them."""
+    return ngram_lm.score_corpus(table(spark, sf_dir, "documents"), order=3)
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from filingstrata.llm import neighbours, queries
+from filingstrata.llm import ngram_lm, neighbours, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -107,3 +107,10 @@ def test_queries_over_whole_tables(spark, name):
     whole = {"op4": ("pages", 50), "op7": ("embeddings", 500)}.get(name.split("_")[0], ("documents", 200))[1]
     count = result.count()
     assert 0 < count if name[:4] in ("op1_", "op3_") else count == whole
+
+
+def test_scores_are_of_trigrams(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    scores = lambda rows: {r.doc_id: round(r.score, 6) for r in rows.where("score is not null").collect()}
+    got = scores(queries.op5_lm_scoring(spark, SF))
+    assert got == scores(ngram_lm.score_corpus(docs, 3)) != scores(ngram_lm.score_corpus(docs, 2))
