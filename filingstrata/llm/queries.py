@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, mixing, neighbours, ngram_lm, passages, preferences, tokens, toxicity, urls
+from . import copies, decontaminate, jaccard, mixing, neighbours, ngram_lm, passages, preferences, tokens, toxicity, urls
 from .common import table
 
 
@@ -71,11 +71,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every group of equal texts the document that stays."""
+    return copies.exact_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_toxicity, op3_substring_dedup, op4_url_filter, op5_lm_scoring,
         op6_ngram_jaccard_join, op7_embedding_near_dedup, op8_source_mixing, op9_chat_formatting, op10_token_counts,
+        op11_exact_dedup,
     )
 }
 
@@ -142,6 +148,10 @@ WITH turns AS (
 SELECT d.conv_id, l.k::INTEGER AS n_prompt_turns, prompt, chosen_text, rejected_text, chosen_mask, rejected_mask,
        n_chosen_trained, n_rejected_trained, n_chosen_trained > 0 AND n_rejected_trained > 0 AS usable
 FROM done d JOIN lengths l USING (conv_id)
+""",
+    "op11_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """,
 }
-
