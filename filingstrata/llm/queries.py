@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import copies, decontaminate, jaccard, mixing, neighbours, ngram_lm, passages, preferences, tokens, toxicity, urls
+from . import copies, decontaminate, jaccard, mixing, neighbours, ngram_lm, passages, preferences, tokens, toxicity, tries, urls
 from .common import table
 
 
@@ -76,12 +76,20 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.exact_copies(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all conversations, first turns taken from the first of their twenty."""
+    convs = tries.conversations(table(spark, sf_dir, "conversations"))
+    return tries.prefix_nodes(tries.with_shared_heads(convs)).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_toxicity, op3_substring_dedup, op4_url_filter, op5_lm_scoring,
         op6_ngram_jaccard_join, op7_embedding_near_dedup, op8_source_mixing, op9_chat_formatting, op10_token_counts,
-        op11_exact_dedup,
+        op11_exact_dedup, op12_prefix_trie,
     )
 }
 
@@ -153,5 +161,44 @@ FROM done d JOIN lengths l USING (conv_id)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op12_prefix_trie": """
+WITH own AS (
+  SELECT conv_id, coalesce(text, '') AS text, sha256(sha256(coalesce(role, '')) || coalesce(text, '')) AS said,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(sha256(coalesce(role, '')) || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,  -- crc32, byte by byte and bit by bit, of the decimal id
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+           lambda c: list_prepend(ascii(c)::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+           lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END)) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)
+), rebuilt AS (
+  SELECT ids.conv_id, i, text, said FROM ids JOIN own o ON o.conv_id = ids.base AND o.i <= ids.h
+  UNION ALL SELECT conv_id, i, text, said FROM own JOIN ids USING (conv_id) WHERE i > h
+), numbered AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS d, said,
+         len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM rebuilt
+), paths AS (
+  SELECT conv_id, d, words, md5(string_agg(said, '') OVER (PARTITION BY conv_id ORDER BY d ROWS UNBOUNDED PRECEDING)) AS node FROM numbered
+  UNION ALL SELECT conv_id, 0, 0, '' FROM ids
+), nodes AS (
+  SELECT node, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM paths GROUP BY node, d
+), linked AS (
+  SELECT n.*, p.node AS parent FROM nodes n LEFT JOIN paths p ON p.conv_id = n.conv_id AND p.d = n.depth - 1
+), children AS (
+  SELECT parent AS node, count(*) AS n FROM linked WHERE parent IS NOT NULL GROUP BY parent
+), below AS (
+  SELECT p.node, sum(CASE WHEN c.n IS NULL THEN 1 ELSE 0 END) AS leaves, sum((l.n_convs - 1) * l.words) AS saved
+  FROM linked l LEFT JOIN children c USING (node) JOIN paths p ON p.conv_id = l.conv_id AND p.d <= l.depth GROUP BY p.node
+), lengths AS (
+  SELECT conv_id, max(d) AS d FROM paths GROUP BY conv_id
+), ends AS (
+  SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM paths JOIN lengths USING (conv_id, d) GROUP BY node
+)
+SELECT l.conv_id, l.depth::BIGINT AS depth, q.conv_id AS parent_conv_id, l.n_convs, coalesce(c.n, 0) AS n_children,
+       b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM linked l JOIN below b USING (node) LEFT JOIN children c USING (node) LEFT JOIN ends e USING (node) LEFT JOIN nodes q ON q.node = l.parent
 """,
 }

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from filingstrata.llm import copies, fuse
+from filingstrata.llm import copies, fuse, tries
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 500, 40_000])
@@ -73,3 +76,98 @@ def test_filters_let_all_stored_digests_through(spark):
     passed = {r.digest for r in copies.screened(other, snapshot).collect()}
     both = {r.digest for r in stored.join(other.select("digest"), "digest").collect()}
     assert len(both) == 1000 and both <= passed and len(passed) < 1000 + 9000 * 0.01
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_double_array_holds_its_sequences_and_no_others(seed):
+    rng = random.Random(seed)
+    sequences = [[rng.randrange(rng.choice([3, 40, 4000])) for _ in range(rng.randrange(9))] for _ in range(300)]
+    sequences += [list(range(50)), list(range(50)), []]
+    flat = sorted({c for s in sequences for c in s})
+    dense = {c: k for k, c in enumerate(flat)}
+    starts = np.cumsum([0] + [len(s) for s in sequences])
+    turns = np.array([dense[c] for s in sequences for c in s], np.int64)
+    trie, codes = tries.pack(starts, turns)
+    nodes = {}
+    for k in range(len(sequences)):
+        at = np.zeros(1, np.int64)
+        for d, j in enumerate(range(starts[k], starts[k + 1])):
+            at = trie.step(at, codes[j : j + 1])
+            assert at[0] > 0 and nodes.setdefault(int(at[0]), sequences[k][: d + 1]) == sequences[k][: d + 1]
+    assert len(nodes) == len({tuple(s[:d]) for s in sequences for d in range(1, len(s) + 1)})
+    known = {tuple(v) for v in nodes.values()}
+    code_of = {sequences[k][d]: codes[starts[k] + d] for k in range(len(sequences)) for d in range(len(sequences[k]))}
+    for node, path in nodes.items():
+        c = rng.choice(flat)
+        step = int(trie.step(np.array([node]), np.array([code_of[c]]))[0])
+        assert (step > 0) == ((*path, c) in known)
+
+
+def _rebuilt(rows, family=20, heads=4):
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            said = hashlib.sha256((hashlib.sha256(role.encode()).hexdigest() + text).encode()).hexdigest()
+            turns[conv].append(((turn is not None, turn or 0), role, said, text))
+    own = {c: [(r, t) for _, r, _, t in sorted(ts)] for c, ts in turns.items()}
+    out = {}
+    for c, ts in own.items():
+        h = zlib.crc32(str(c).encode()) % heads
+        out[c] = own.get(c - int(math.fmod(c, family)), [])[:h] + ts[h:]
+    return out
+
+
+def _expected_nodes(convs):
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, path in convs.items():
+        for d in range(len(path) + 1):
+            members[tuple(path[:d])].append(c)
+        ends[tuple(path)].append(c)
+    children = defaultdict(set)
+    for node in members:
+        if node:
+            children[node[:-1]].add(node)
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node, held in members.items():
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", node[-1][1])) if node else 0
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += (len(held) - 1) * words
+    return sorted(
+        (min(held), len(node), min(members[node[:-1]]) if node else -1, len(held), len(children[node]), leaves[node], saved[node],
+         hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest())
+        for node, held in members.items()
+    )
+
+
+def _talks(seed):
+    rng = random.Random(seed)
+    texts = ["", None, "hi", "a b", " a  b c ", "x" * 50_000, "é\u00a0f"]
+    rows = []
+    for c in range(0, 400):
+        if c % 20 == 0 and c % 40:
+            continue  # families without a first conversation
+        n = rng.choice([1, 1, 2, 3, 5, 12])
+        rows += [(c, t, rng.choice(["user", "user", None]), texts[min(rng.randrange(20), 6)] if t < 6 else f"t{rng.randrange(4)}") for t in range(n)]
+    rows += [(c, t, "user", f"hot {t}") for c in range(1000, 1400) for t in range(9)]  # many alike, and long shared beginnings
+    rows += [(c, 9 + t, "user", f"hot {t * c % 7}") for c in range(1200, 1400) for t in range(3)]
+    rows += [(2000, t, "user", f"word {t}") for t in range(150)]
+    rows += [(None, 1, "user", "x"), (3, None, "user", "first"), (4, 1, "b", "tie"), (4, 1, "a", "tie"), (4, 1, "a", "tie"), (-7, 0, "user", "neg")]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("limit", [200_000, 300, 10])
+def test_prefix_nodes_are_those_of_brute_force(spark, limit):
+    rows = _talks(limit)
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("path", F.lit(1)).repartition(4)
+    found = tries.prefix_nodes(tries.with_shared_heads(tries.conversations(turns)), limit)
+    names = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    ours = sorted(tuple(r) for r in found.select(*names).fillna({"parent_conv_id": -1}).collect())
+    assert ours == _expected_nodes(_rebuilt([(c, t, r, x) for c, t, r, x in rows]))
+
+
+def test_prefix_nodes_of_no_conversations(spark):
+    turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert tries.prefix_nodes(tries.with_shared_heads(tries.conversations(turns))).collect() == []
