@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import copies, decontaminate, jaccard, mixing, neighbours, ngram_lm, passages, preferences, tokens, toxicity, tries, urls
+from . import alignment, copies, decontaminate, jaccard, mixing, neighbours, ngram_lm, passages, preferences, tokens, toxicity, tries, urls
 from .common import table
 
 
@@ -84,12 +84,20 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens under both vocabularies aligned, scored by the pairs of the whole corpus."""
+    import public_tokenizers
+
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_corpus(table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_toxicity, op3_substring_dedup, op4_url_filter, op5_lm_scoring,
         op6_ngram_jaccard_join, op7_embedding_near_dedup, op8_source_mixing, op9_chat_formatting, op10_token_counts,
-        op11_exact_dedup, op12_prefix_trie,
+        op11_exact_dedup, op12_prefix_trie, op13_token_alignment,
     )
 }
 

@@ -7,13 +7,13 @@ import math
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from filingstrata.llm import copies, fuse, tries
+from filingstrata.llm import alignment, copies, fuse, tries
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 500, 40_000])
@@ -171,3 +171,89 @@ def test_prefix_nodes_are_those_of_brute_force(spark, limit):
 def test_prefix_nodes_of_no_conversations(spark):
     turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert tries.prefix_nodes(tries.with_shared_heads(tries.conversations(turns))).collect() == []
+
+
+def _paths():
+    import public_tokenizers
+
+    return [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+
+
+def _spans(tokens):
+    out, at = [], 0
+    for k, size in tokens:
+        out.append((k, at, at + size))
+        at += size
+    return out
+
+
+def _aligned(texts):
+    """Groups and links of each text, straight from the definition."""
+    import json
+
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    path_a, path_b = _paths()
+    a, b = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b)
+    a.encode_special_tokens = True
+    signs = {c: n for n, c in zip([*range(33, 127), *range(161, 173), *range(174, 256)], map(chr, [*range(33, 127), *range(161, 173), *range(174, 256)]))}
+    signs |= {chr(256 + k): n for k, n in enumerate(n for n in range(256) if chr(n) not in signs)}
+    of_id = {k: t for t, k in json.load(open(path_a, encoding="utf-8"))["model"]["vocab"].items()}
+    out = []
+    for text in texts:
+        whole = (" " + (text or "")).encode()
+        ta = [(k, bytes(signs[c] for c in of_id[k])) for k in a.encode(" " + (text or ""), add_special_tokens=False).ids]
+        tb = []
+        for k in b.encode(text or ""):
+            piece = b.id_to_piece(k)
+            tb.append((k, bytes([int(piece[3:5], 16)]) if b.is_byte(k) else piece.replace("\u2581", " ").encode()))
+        if not text or b"".join(t for _, t in ta) != whole or b"".join(t for _, t in tb) != whole:
+            out.append(([], [], [], []))
+            continue
+        sa, sb = _spans([(k, len(t)) for k, t in ta]), _spans([(k, len(t)) for k, t in tb])
+        ends = sorted({e for _, _, e in sa} & {e for _, _, e in sb})
+        groups, low = [], 0
+        for end in ends:
+            groups.append(tuple(",".join(str(k) for k, s, e in side if low < e <= end) for side in (sa, sb)))
+            low = end
+        links = [(x, y) for x, s, e in sa for y, p, q in sb if s < q and p < e]
+        out.append((sa, sb, groups, links))
+    return out
+
+
+@pytest.mark.parametrize("chunks", [{}, {"chunk_links": 40, "chunk_docs": 3}, {"chunk_docs": 1}])
+def test_alignment_is_that_of_brute_force(spark, chunks):
+    texts = [
+        "hello world", "Hello  world", "<|endoftext|> <s> </s>", "", None, " ", "\u2581a", "na\u00efve caf\u00e9 \U0001f600\u200d\u4e2d\u6587",
+        "tab\tand\nnewline\r\n", "the the the the of the", "the of and", "a\u0301\ufb01 \uff21", "x" * 700, "1234567 89.01,23", "<unk>", "\x00\x01", "  lead",
+        "<0x41>", "hello world", "supercalifragilistic tokenization isn't we'll",
+    ]
+    rng = random.Random(4)
+    words = [w for t in texts if t for w in t.split()][:40]
+    texts += [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 60))) for _ in range(40)]
+    rows = [(k, t, 7) for k, t in enumerate(texts)] + [(None, "the of and", 1), (0, "hello world", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, pair int").repartition(3)
+    found = alignment.align_corpus(docs, *_paths(), **chunks)
+    expected = _aligned([t for _, t, _ in rows])
+    count = Counter(link for *_, links in expected for link in links)
+    most = defaultdict(int)
+    for (_, y), n in count.items():
+        most[y] = max(most[y], n)
+    lines = Counter()
+    for (doc, _, _), (sa, sb, groups, links) in zip(rows, expected):
+        written = ";".join("|".join(g) for g in groups)
+        sha = hashlib.sha256(written.encode()).hexdigest() if sa else ""
+        lines[(doc, len(sa), len(sb), len(groups), len(links), sum(count[p] == most[p[1]] for p in links), sum(count[p] for p in links), sha)] += 1
+    assert Counter(map(tuple, found.collect())) == lines
+    assert sum(sha == "" for *_, sha in lines) >= 2
+
+
+def test_pair_counts_tell_documents_and_links(spark):
+    docs = spark.createDataFrame([(k, "the the of") for k in range(300)] + [(300, "the")], "doc_id long, text string").repartition(2)
+    counted = alignment.pair_counts(alignment.index(docs, *_paths(), chunk_docs=64)).collect()
+    assert {(r.n_docs, r.n_links) for r in counted} == {(301, 601), (300, 300)}
+
+
+def test_alignment_of_no_documents(spark):
+    assert alignment.align_corpus(spark.createDataFrame([], "doc_id string, text string"), *_paths()).collect() == []
