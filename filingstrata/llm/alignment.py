@@ -9,9 +9,11 @@ corpus; with these counts the same bitmaps then lead back to the documents and g
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +23,12 @@ from pyspark.sql import functions as F
 
 from filingstrata.sources.staging import stage
 
+from .tokens import _cuts, char_classes
+
 _CHUNK_DOCS = 1 << 16  # numbers inside a chunk have 16 bits
 _CHUNK_LINKS = 2_000_000  # a chunk is closed once it holds so many links
 _BATCH = 1_000_000  # characters that are encoded at once
+_HELD = 400_000  # distinct pre-tokens whose ids a task remembers
 _ID_BITS = 20  # of an id inside a pair
 _CHUNK_BITS = 32  # a chunk's number: the task's above, the task's own count below
 
@@ -107,7 +112,7 @@ def scattered(bits: pa.Array, dense: np.ndarray, values: np.ndarray, size: int)
 class Aligner:
     """Both tokenizers, with the byte length and the bytes of each of their tokens."""
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, classes: np.ndarray | None = None):
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -127,25 +132,56 @@ class Aligner:
             [f"{k}{s}".encode() for n, end in ((count, "|"), (len(self.bytes_b), ";")) for s in (",", end) for k in range(n)]
         )
         self.written_b = 2 * count
-
-    def tokens(self, texts: list[str | None]) -> tuple[list, list]:
-        """Ids of both sides for each text; none where the text is empty or either side's bytes differ from it."""
+        self.classes = classes if cuts_apart(path_a) else None
+        self.known: dict[int, tuple[list[int], bool]] = {}
+
+    def _ids_a(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, how many each has, and whether they give back its bytes.
+
+        Where the vocabulary is applied to each pre-token by itself, a pre-token is encoded once.
+        """
+        if self.classes is None:
+            found = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+            same = [self._gives(ids, text) for ids, text in zip(found, texts)]
+            return _flat(found), np.array([len(ids) for ids in found], np.int64), np.array(same, bool)
+        counts, same, parts = np.zeros(len(texts), np.int64), np.ones(len(texts), bool), []
+        for _, cut in _cuts(texts, [], self.classes):
+            hashes, first, at = np.unique(cut.hash, return_index=True, return_inverse=True)
+            if len(self.known) + len(hashes) > _HELD:
+                self.known.clear()
+            hashes = hashes.tolist()
+            new = [k for k, h in enumerate(hashes) if h not in self.known]
+            strings = [cut.string(first[k]) for k in new]
+            for k, string, e in zip(new, strings, self.a.encode_batch_fast(strings, add_special_tokens=False)):
+                self.known[hashes[k]] = (e.ids, self._gives(e.ids, string))
+            entries = [self.known[h] for h in hashes]
+            sizes = np.array([len(ids) for ids, _ in entries], np.int64)
+            starts, wide = np.cumsum(sizes) - sizes, sizes[at]
+            begin = np.cumsum(wide) - wide
+            flat = _flat([ids for ids, _ in entries])
+            parts.append(flat[np.repeat(starts[at] - begin, wide) + np.arange(int(wide.sum()))])
+            np.add.at(counts, cut.owner, wide)
+            same[cut.owner[~np.array([good for _, good in entries], bool)[at]]] = False
+        return np.concatenate([np.zeros(0, np.int64), *parts]), counts, same
+
+    def _gives(self, ids: list[int], text: str) -> bool:
+        return b"".join(map(self.bytes_a.__getitem__, ids)) == text.encode("utf-8", "surrogatepass")
+
+    def tokens(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A, how many each text has, and the same of B; none where a text is empty or either side's bytes differ."""
         plain = [t or "" for t in texts]
         spaced = [" " + t for t in plain]
-        of_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        a, n_a, same = self._ids_a(spaced)
         of_b = self.b.encode(plain, num_threads=1)
-        for k, (text, a, b) in enumerate(zip(spaced, of_a, of_b)):
-            whole = text.encode("utf-8", "surrogatepass")
-            same = len(text) > 1 and b"".join(map(self.bytes_a.__getitem__, a)) == whole
-            if not same or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-                of_a[k], of_b[k] = [], []
-        return of_a, of_b
+        for k, (text, ids) in enumerate(zip(spaced, of_b)):
+            if len(text) == 1 or not same[k] or b"".join(map(self.bytes_b.__getitem__, ids)) != text.encode("utf-8", "surrogatepass"):
+                of_b[k], same[k] = [], False
+        a, n_a = a[np.repeat(same, n_a)], np.where(same, n_a, 0)
+        return a, n_a, _flat(of_b), np.array([len(ids) for ids in of_b], np.int64)
 
     def align(self, texts: list[str | None]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
         """Per text its counts and digest; and for each link the pair (A's id << 20 | B's id) and the text's number."""
-        of_a, of_b = self.tokens(texts)
-        n_a, n_b = (np.array([len(t) for t in ts], np.int64) for ts in (of_a, of_b))
-        a, b = (np.fromiter((i for t in ts for i in t), np.int64, int(n.sum())) for ts, n in ((of_a, n_a), (of_b, n_b)))
+        a, n_a, b, n_b = self.tokens(texts)
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         # both sides cover the same bytes, so the pieces between neighbouring ends are the links
         both = np.concatenate([end_a, end_b])
@@ -186,6 +222,19 @@ class Aligner:
         return out
 
 
+def cuts_apart(path: str) -> bool:
+    """Whether a ``tokenizers`` file cuts texts by the byte-level rule and encodes each pre-token by itself."""
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    cut = made.get("pre_tokenizer") or {}
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+    return plain and made.get("normalizer") is None
+
+
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
+
+
 def _byte_signs() -> str:
     """The sign that byte-level vocabularies write for each byte: itself if it can be seen, else from 256 on."""
     seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -245,6 +294,7 @@ class _Chunk:
 def index(docs: DataFrame, path_a: str, path_b: str, chunk_links: int = _CHUNK_LINKS, chunk_docs: int = _CHUNK_DOCS) -> DataFrame:
     """The staged index: rows of documents (``at`` not null) and rows of bitmaps (``pair`` not null) of each chunk."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    classes = docs.sparkSession.sparkContext.broadcast(char_classes())  # one byte a code point
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, chunk = None, None
@@ -253,7 +303,7 @@ def index(docs: DataFrame, path_a: str, path_b: str, chunk_links: int = _CHUNK_L
                 types = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "string": pa.string()}
                 named = [part.split(" ", 1) for part in _ROW.split(", ")]
                 chunk = _Chunk(pa.schema([(name, batch.schema.field("doc_id").type if name == "doc_id" else types[t]) for name, t in named]))
-                aligner = Aligner(path_a, path_b)
+                aligner = Aligner(path_a, path_b, classes.value)
             texts, at = batch.column("text").to_pylist(), 0
             while at < len(texts):
                 end, held = at, 0
