@@ -354,7 +354,8 @@ def align_corpus(docs: DataFrame, path_a: str, path_b: str, **chunks: int) -> Da
     scored = scored.select("pair", "count", (F.col("count") == F.col("most")).alias("best"))
     postings = indexed.where(F.col("pair").isNotNull()).select("chunk", "pair", "plane", "dense", "bits")
     sizes = indexed.where(F.col("at").isNotNull()).groupBy(F.col("chunk").alias("of")).agg(F.count(F.lit(1)).alias("size"))
-    returned = postings.join(scored, "pair").select("chunk", "plane", "dense", "bits", "count", "best")
+    # postings and counts both grow with the documents, so no size of the counts calls for a broadcast
+    returned = postings.join(scored.hint("merge"), "pair").select("chunk", "plane", "dense", "bits", "count", "best")
 
     def summed(chunk: tuple, rows: pa.Table, size: pa.Table) -> pa.Table:
         docs = size["size"][0].as_py()
