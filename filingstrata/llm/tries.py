@@ -295,7 +295,7 @@ def _pairs(rows: list[tuple[str, str]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], ["key", "ends_sha256"])
 
 
-def prefix_nodes(convs: DataFrame, limit: int = 200_000) -> DataFrame:
+def prefix_nodes(convs: DataFrame, limit: int = 2_000) -> DataFrame:
     """The nodes of the trie of conversations (conv_id, path), as :func:`conversations` gives them.
 
     A node is a distinct sequence of first turns; the root has none. Returned are conv_id, the smallest
