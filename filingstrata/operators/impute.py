@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filingstrata.operators.joins import splittable_join
-from filingstrata.operators.ranks import exact_quantiles
+from filingstrata.operators.ranks import group_medians, large_groups
+from filingstrata.sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -64,8 +65,9 @@ def fill_from_groups(
     """Fill NULLs of each ``Fill.column`` with its statistic over rows that agree in ``by``.
 
     Non-null values, the number of rows and the column order stay as they are. NULL in ``by``
-    belongs to no group. Medians come from an exact distributed rank selection, which stages counted
-    values while the plan is built; they depend on the rows only, however these are partitioned.
+    belongs to no group. Medians are exact and depend on the rows only, however these are partitioned:
+    one shuffle where a group fits a task, a distributed rank selection for larger groups, whose sizes
+    are found while the plan is built.
     ``sketch`` takes approximate medians instead, from sketches of that accuracy: their ranks may be
     off by group size / accuracy, and partitioning may change them. ``rare_gaps`` tells that most
     groups miss nothing: medians are then taken only of rows in groups that do, found by a semi join.
@@ -80,10 +82,10 @@ def fill_from_groups(
     if modes:
         parts.append(_group_modes(counts, by, modes))
     if medians:
-        rows = _rows_of_gappy_groups(df, by, targets) if rare_gaps else df.filter(_none_null(by))
         if sketch is None:
-            parts.append(_exact_medians(rows, by, medians))
+            parts.append(_exact_medians(df, by, medians, targets, rare_gaps))
         else:
+            rows = _rows_of_gappy_groups(df, by, targets) if rare_gaps else df.filter(_none_null(by))
             parts.append(_sketched_medians(rows, by, medians, sketch))
     lookup = reduce(lambda left, right: left.join(right, by, "full_outer"), parts)
 
@@ -221,19 +223,31 @@ def _sketched_medians(
     return rows.groupBy(*by).agg(*medians)
 
 
-def _exact_medians(rows: DataFrame, by: list[str], fills: Sequence[Fill]) -> DataFrame:
-    """One rank selection for all measures of a type, with the column as one more part of the key."""
-    measured = rows.select(*by, *[_measure(fill).alias(fill.found) for fill in fills])
-    kinds: dict[str, list[str]] = {}
-    for fill in fills:
-        kinds.setdefault(measured.schema[fill.found].dataType.simpleString(), []).append(fill.found)
-    parts = []
-    for names in kinds.values():
-        values = measured.select(*by, *names).unpivot(by, names, "__of", "__v")
-        found = exact_quantiles(values, "__v", {"__median": 0.5}, [*by, "__of"])
-        medians = [F.max(F.when(F.col("__of") == name, F.col("__median"))).alias(name) for name in names]
-        parts.append(found.groupBy(*by).agg(*medians))
-    return reduce(lambda left, right: left.join(right, by, "full_outer"), parts)
+def _exact_medians(
+    df: DataFrame, by: list[str], fills: Sequence[Fill], targets: list[str], rare_gaps: bool
+) -> DataFrame:
+    """Medians per group; the groups' sizes tell which of them are too large for one task.
+
+    With ``rare_gaps`` the same sizes tell which groups miss something; only their rows are taken.
+    Groups meet by a hash of their key there: two groups with one hash only let unneeded rows through.
+    """
+    names = [fill.found for fill in fills]
+    keyed = df.filter(_none_null(by))
+    measured = keyed.select(*by, *[_measure(fill).alias(fill.found) for fill in fills])
+    held = F.greatest(*[F.count(name) for name in names]) if len(names) > 1 else F.count(names[0])
+    if not rare_gaps:
+        sizes = measured.groupBy(*by).agg(held.alias("__held"))
+        return group_medians(measured, by, names, large_groups(sizes, by, "__held"))
+    flagged = keyed.select(
+        *by, *[_measure(fill).alias(fill.found) for fill in fills], _any_null(targets).alias("__gap")
+    )
+    sizes = flagged.groupBy(*by).agg(held.alias("__held"), F.count_if("__gap").alias("__gaps"))
+    gappy = stage(sizes.filter((F.col("__gaps") > 0) & (F.col("__held") > 0)), "gappy_groups")
+    group = F.xxhash64(*by).alias("__group")
+    holding = reduce(or_, [F.col(name).isNotNull() for name in names])
+    rows = measured.filter(holding).select("*", group)
+    rows = splittable_join(rows, gappy.select(group).distinct(), ["__group"], "left_semi").drop("__group")
+    return group_medians(rows, by, names, large_groups(gappy, by, "__held"))
 
 
 def _measure(fill: Fill) -> Column:

@@ -7,17 +7,22 @@ slices onto one sequence.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filingstrata.operators.joins import splittable_join
 from filingstrata.sources.staging import stage
 
 # Layout of monotonically_increasing_id: partition index above, row index in the lower 33 bits.
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
+# Most values of one group that one task takes at once; larger groups are ranked across tasks.
+LARGE_GROUP = 200_000
+
 # Most copies one task emits for one input row when equal rows are expanded again.
 _COPIES_PER_ROW = 100_000
 
@@ -145,3 +150,94 @@ def quantiles_of_counts(
         covers = (upto - F.col("__n") < rank) & (rank <= upto)
         chosen.append(F.max(F.when(covers, F.col(value))).alias(name))
     return ranked.groupBy(*by).agg(*chosen)
+
+
+def group_medians(
+    rows: DataFrame, by: Sequence[str], values: Sequence[str], large: DataFrame | None
+) -> DataFrame:
+    """Exact lower medians of several columns: one row per group with the group and each column's median.
+
+    ``large`` holds the group columns of the groups with too many values for one task (see
+    :func:`large_groups`), or is None where there are none. All others take one shuffle; the large ones
+    are ranked across slices. Both ways give the same medians. A group without any value has no row.
+    """
+    by, values = list(by), list(values)
+    if large is None:
+        return _medians_in_task(rows, by, values)
+    small = _medians_in_task(splittable_join(rows, large, by, "left_anti"), by, values)
+    return small.unionByName(_medians_by_rank(splittable_join(rows, large, by, "left_semi"), by, values))
+
+
+def large_groups(
+    sizes: DataFrame, by: Sequence[str], size: str, limit: int | None = None
+) -> DataFrame | None:
+    """The groups whose ``size`` is beyond the limit, staged; None where there are none."""
+    found = sizes.filter(F.col(size) > (LARGE_GROUP if limit is None else limit)).select(*by)
+    staged = stage(found, "large_groups")
+    return None if staged.isEmpty() else staged
+
+
+def _medians_in_task(rows: DataFrame, by: list[str], values: list[str]) -> DataFrame:
+    """The middle row of each sorted group, for all columns of a type at once."""
+
+    def middle(names: list[str]) -> DataFrame:
+        many = len(names) > 1
+        listed = rows.select(*by, *names).unpivot(by, names, "__of", "__v") if many else rows.select(*by, F.col(names[0]).alias("__v"))
+        keys = [*by, "__of"] if many else by
+        group = Window.partitionBy(*keys)
+        placed = listed.filter(F.col("__v").isNotNull()).select(
+            "*", F.row_number().over(group.orderBy("__v")).alias("__at"), F.count(F.lit(1)).over(group).alias("__size")
+        )
+        found = placed.filter(F.col("__at") == F.ceil(F.col("__size") / 2))
+        if not many:
+            return found.select(*by, F.col("__v").alias(names[0]))
+        return _by_column(found.withColumnRenamed("__v", "__median"), by, names)
+
+    return _for_each_type(rows, by, values, middle)
+
+
+def _medians_by_rank(rows: DataFrame, by: list[str], values: list[str]) -> DataFrame:
+    """One rank selection for all columns of a type, with the column as one more part of the key."""
+
+    def ranked(names: list[str]) -> DataFrame:
+        unpivoted = rows.select(*by, *names).unpivot(by, names, "__of", "__v")
+        return _by_column(exact_quantiles(unpivoted, "__v", {"__median": 0.5}, [*by, "__of"]), by, names)
+
+    return _for_each_type(rows, by, values, ranked)
+
+
+def _by_column(found: DataFrame, by: list[str], names: list[str]) -> DataFrame:
+    medians = [F.max(F.when(F.col("__of") == name, F.col("__median"))).alias(name) for name in names]
+    return found.groupBy(*by).agg(*medians)
+
+
+def _for_each_type(rows: DataFrame, by: list[str], values: list[str], medians: Callable[[list[str]], DataFrame]) -> DataFrame:
+    kinds: dict[str, list[str]] = {}
+    for name in values:
+        kinds.setdefault(rows.schema[name].dataType.simpleString(), []).append(name)
+    joined = reduce(lambda left, right: left.join(right, by, "full_outer"), map(medians, kinds.values()))
+    return joined.select(*by, *values)
+
+
+def medians_of_counts(
+    counted: DataFrame, value: str, by: Sequence[str], name: str, limit: int | None = None
+) -> DataFrame:
+    """Exact lower median per group of distinct non-null values with their counts in ``__n``.
+
+    As :func:`group_medians`: a window where the distinct values of a group fit a task, ranks across
+    slices for larger groups.
+    """
+    by = list(by)
+    sizes = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("__size"))
+    large = large_groups(sizes, by, "__size", limit)
+    small = counted if large is None else splittable_join(counted, large, by, "left_anti")
+    group = Window.partitionBy(*by)
+    upto = F.sum("__n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    placed = small.select(*by, value, "__n", upto.alias("__upto"), F.sum("__n").over(group).alias("__total"))
+    half = F.ceil(F.col("__total") / 2)
+    middle = (F.col("__upto") >= half) & (F.col("__upto") - F.col("__n") < half)
+    found = placed.filter(middle).select(*by, F.col(value).alias(name))
+    if large is None:
+        return found
+    ranked = quantiles_of_counts(splittable_join(counted, large, by, "left_semi"), value, {name: 0.5}, by)
+    return found.unionByName(ranked)

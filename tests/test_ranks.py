@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from filingstrata.operators import ranks
-from filingstrata.operators.ranks import dense_key, exact_quantiles, sorted_slices
+from filingstrata.operators.ranks import dense_key, exact_quantiles, group_medians, large_groups, medians_of_counts, sorted_slices
 
 
 @pytest.fixture
@@ -98,3 +98,25 @@ def test_group_spanning_slices(many_slices):
     table = many_slices.range(10_001).select(F.lit("hot").alias("k"), (F.col("id") * 3).alias("v"))
     found = exact_quantiles(table, "v", {"p50": 0.5, "p90": 0.9}, ["k"]).first()
     assert (found.p50, found.p90) == (15_000, 27_000)
+
+
+@pytest.mark.parametrize("limit", [0, 3, 1000])
+def test_medians_in_a_task_and_by_rank_are_the_same(spark, limit):
+    rows = spark.range(0, 3000, 1, 5).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"),
+        F.when(F.col("id") % 7 != 0, (F.col("id") * 37 % 101).cast("decimal(28,4)")).alias("v"),
+        F.when(F.col("id") % 50 != 1, (F.col("id") * 13 % 17).cast("int")).alias("w"),
+    )
+    sizes = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    found = group_medians(rows, ["k"], ["v", "w"], large_groups(sizes, ["k"], "n", limit))
+    expected = {}
+    for row in rows.collect():
+        held = expected.setdefault(row.k, ([], []))
+        for values, value in zip(held, row[1:]):
+            if value is not None:
+                values.append(value)
+    middle = lambda values: sorted(values)[(len(values) - 1) // 2] if values else None
+    assert {row.k: tuple(row[1:]) for row in found.collect()} == {k: tuple(map(middle, held)) for k, held in expected.items()}
+    counted = rows.where("v is not null").groupBy("k", "v").agg(F.count(F.lit(1)).alias("__n"))
+    again = medians_of_counts(counted, "v", ["k"], "m", limit)
+    assert {row.k: row.m for row in again.collect()} == {k: middle(held[0]) for k, held in expected.items()}
