@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -44,11 +45,11 @@ def _number(name: str) -> Column:
     return F.col(name).try_cast("int")
 
 
-def _category_fills() -> list[Fill]:
+def category_fills() -> list[Fill]:
     return [Fill("sic", "mode", global_mode=True), Fill("countryba", "mode", global_mode=True)]
 
 
-def _date_fills() -> list[Fill]:
+def date_fills() -> list[Fill]:
     """fy and fp by mode, period and fye by median.
 
     period (YYYYMMDD) and fye (MMDD) are text: the median is taken of the number and written back
@@ -64,21 +65,21 @@ def _date_fills() -> list[Fill]:
 
 def impute_sub_categories(sub: DataFrame) -> DataFrame:
     """sic and countryba: the company's mode, then the most frequent value overall."""
-    return fill_from_groups(sub, ["cik"], _category_fills())
+    return fill_from_groups(sub, ["cik"], category_fills())
 
 
 def impute_sub_dates(sub: DataFrame, sketch: int | None = None) -> DataFrame:
     """fy and fp by the company's mode, period and fye by its median, then the defaults."""
-    return _date_defaults(fill_from_groups(sub, ["cik"], _date_fills(), sketch))
+    return date_defaults(fill_from_groups(sub, ["cik"], date_fills(), sketch))
 
 
 def impute_submissions(sub: DataFrame, sketch: int | None = None) -> DataFrame:
     """Both submission imputations with one lookup and one join; the columns do not interact."""
-    fills = _category_fills() + _date_fills()
-    return _date_defaults(fill_from_groups(sub, ["cik"], fills, sketch))
+    fills = category_fills() + date_fills()
+    return date_defaults(fill_from_groups(sub, ["cik"], fills, sketch))
 
 
-def _date_defaults(sub: DataFrame) -> DataFrame:
+def date_defaults(sub: DataFrame) -> DataFrame:
     # Order matters: the default period is built from the completed fy and fye.
     defaults = {
         "fye": F.lit(DEFAULT_FYE),
@@ -89,8 +90,11 @@ def _date_defaults(sub: DataFrame) -> DataFrame:
     return impute_default(sub, defaults)
 
 
-def clean_submissions(sub: DataFrame) -> DataFrame:
-    """Require the keys, parse dates, strip phone numbers, trim text, add the filing delay."""
+def clean_submissions(sub: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Require the keys, parse dates, strip phone numbers, trim text, add the filing delay.
+
+    ``keep`` names further columns for the end of the row, here and in the other cleaning steps.
+    """
     required = ["adsh", "cik", "name", "sic"]
     trimmed = ["name", "countryba", "stprba", "cityba", "zipba", "form", "instance"]
     period, filed = ymd_to_date(F.col("period")), ymd_to_date(F.col("filed"))
@@ -102,7 +106,7 @@ def clean_submissions(sub: DataFrame) -> DataFrame:
         "delay_days": F.date_diff(filed, period),
     }
     return sub.filter(_all_present(required)).select(
-        *[cleaned.get(name, F.col(name)).alias(name) for name in schemas.SUBMISSIONS]
+        *[cleaned.get(name, F.col(name)).alias(name) for name in schemas.SUBMISSIONS], *keep
     )
 
 
@@ -135,7 +139,7 @@ def impute_num_values(
 
 
 def clean_numbers(
-    num: DataFrame, min_year: int = FIRST_YEAR, max_year: int | None = None
+    num: DataFrame, min_year: int = FIRST_YEAR, max_year: int | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Require value and keys, repair dates by the partition year, keep durations below five quarters.
 
@@ -148,7 +152,7 @@ def clean_numbers(
     }
     required = ["value", "adsh", "tag", "version"]
     kept = num.filter(_all_present(required) & (F.col("qtrs") < QTRS_BELOW))
-    return kept.select(*[cleaned.get(name, F.col(name)).alias(name) for name in schemas.NUMBERS])
+    return kept.select(*[cleaned.get(name, F.col(name)).alias(name) for name in schemas.NUMBERS], *keep)
 
 
 def impute_pre_statements(pre: DataFrame) -> DataFrame:
@@ -161,36 +165,38 @@ def impute_pre_labels(pre: DataFrame) -> DataFrame:
     return impute_default(pre, {"plabel": title_from_camel(F.col("tag"))})
 
 
-def clean_presentations(pre: DataFrame) -> DataFrame:
+def clean_presentations(pre: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Require stmt, trim text."""
     trimmed = {"adsh", "stmt", "tag", "version", "plabel"}
     return pre.filter(F.col("stmt").isNotNull()).select(
         *[
             F.trim(name).alias(name) if name in trimmed else F.col(name)
             for name in schemas.PRESENTATIONS
-        ]
+        ],
+        *keep,
     )
 
 
+def tag_definitions(tag: DataFrame, dedup: bool = True) -> DataFrame:
+    """Definitions with upper-case versions; with ``dedup`` the latest one of each (tag, version)."""
+    described = [field.name for field in schemas.TAG_SCHEMA.fields]
+    versioned = tag.filter(F.col("version").isNotNull()).withColumn("version", F.upper("version"))
+    if not dedup:
+        return versioned.select(*described)
+    attributes = [name for name in described if name not in ("tag", "version")]
+    latest = F.max(F.struct("year", "quarter", *attributes)).alias("latest")
+    found = versioned.groupBy("tag", "version").agg(latest)
+    return found.select("tag", "version", *[F.col(f"latest.{name}") for name in attributes]).select(*described)
+
+
 def clean_tags(tag: DataFrame, dedup: bool = True) -> DataFrame:
     """Upper-case versions, number the definitions by (tag, version), then drop abstract ones.
 
     Numbers are given before the abstract rows go, so they have gaps. ``dedup`` keeps the latest
     definition of each (tag, version); without it every quarter's copy stays and is numbered.
     """
-    described = [field.name for field in schemas.TAG_SCHEMA.fields]
-    versioned = tag.filter(F.col("version").isNotNull()).withColumn("version", F.upper("version"))
-    if dedup:
-        attributes = [name for name in described if name not in ("tag", "version")]
-        latest = F.max(F.struct("year", "quarter", *attributes)).alias("latest")
-        versioned = (
-            versioned.groupBy("tag", "version")
-            .agg(latest)
-            .select("tag", "version", *[F.col(f"latest.{name}") for name in attributes])
-        )
-    numbered = dense_key(
-        versioned.select(*described), "tag_id", order_by=["tag", "version"], unique=dedup
-    )
+    definitions = tag_definitions(tag, dedup)
+    numbered = dense_key(definitions, "tag_id", order_by=["tag", "version"], unique=dedup)
     return numbered.filter(~F.col("abstract")).select(*schemas.TAGS)
 
 

@@ -60,6 +60,11 @@ class Lake:
             writer = writer.option("overwriteSchema", True)
         writer.save(self.path(layer, table))
 
+    def drop_partition(self, layer: str, table: str, values: dict[str, object]) -> None:
+        """Remove one partition's files, named by the values of the first partition columns."""
+        folder = "/".join(f"{name}={value}" for name, value in values.items())
+        files.delete(self.spark, f"{self.path(layer, table)}/{folder}")
+
     def exists(self, layer: str, table: str) -> bool:
         return files.exists(self.spark, self.path(layer, table))
 

@@ -266,6 +266,60 @@ _PARTS: dict[str, str] = {
 }
 
 
+# The same sub-results of the first of two updates, named ``<name>_one``.
+_LATE = {name: "CAST(adsh AS BIGINT) % 6 = 3" for name in ("sub_raw", "num_raw", "pre_raw")}
+_PARTS["tag_arrivals"] = """
+    SELECT * REPLACE (CASE WHEN length(tag) % 5 = 0 THEN 2 ELSE 1 END AS quarter) FROM tag_raw
+    UNION ALL
+    SELECT * REPLACE ('again' AS tlabel, 2 AS quarter) FROM tag_raw WHERE length(tag) % 7 = 0 AND length(tag) % 5 <> 0"""
+
+
+def _renamed(text: str, names: dict[str, str]) -> str:
+    return re.sub(r"\b\w+\b", lambda word: names.get(word[0], word[0]), text)
+
+
+def _kept_keys(columns: str, first: str, second: str, key: str = "id") -> str:
+    """Keys given in two updates: those of the first stay, new rows are numbered after them."""
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns.split(", "))
+    return f"""
+        SELECT {key}, {columns} FROM (
+            SELECT row_number() OVER (ORDER BY came, {order}) AS {key}, {columns}, last FROM (
+                SELECT {columns}, min(run) AS came, max(run) AS last
+                FROM (SELECT {columns}, 1 AS run FROM {first} UNION ALL SELECT {columns}, 2 FROM {second})
+                GROUP BY {columns}))
+        WHERE last = 2"""
+
+
+_FIRST_UPDATE = [
+    name for name in _PARTS if name.split("_")[0] in ("sub", "num", "pre", "stmt", "sic", "country", "fy", "fp") and name != "num_text"
+]
+for _name in _FIRST_UPDATE:
+    _ones = {name: f"{name}_one" for name in _FIRST_UPDATE}
+    _PARTS[f"{_name}_one"] = (
+        f"SELECT * FROM {_name} WHERE NOT ({_LATE[_name]})" if _name in _LATE else _renamed(_PARTS[_name], _ones)
+    )
+_PARTS |= {
+    "arrivals_latest": """
+        SELECT * EXCLUDE (place) FROM (
+            SELECT * REPLACE (upper(version) AS version),
+                   row_number() OVER (PARTITION BY tag, upper(version) ORDER BY year DESC, quarter DESC) AS place
+            FROM tag_arrivals)
+        WHERE place = 1""",
+    "kept_tag_keys": _kept_keys(
+        "tag, version", "(SELECT * REPLACE (upper(version) AS version) FROM tag_arrivals WHERE quarter = 1)", "arrivals_latest", "tag_id"
+    ),
+    "kept_tags": "SELECT k.tag_id, a.* FROM arrivals_latest a JOIN kept_tag_keys k USING (tag, version) WHERE NOT a.abstract",
+    "kept_companies": _kept_keys(_COMPANY, "sub_silver_one", "sub_silver"),
+    "kept_dates": _kept_keys(
+        "ddate", "(SELECT ddate FROM num_silver_one WHERE ddate IS NOT NULL)", "(SELECT ddate FROM num_silver WHERE ddate IS NOT NULL)"
+    ),
+    "kept_positions": _kept_keys("stmt, report, line, plabel", "pre_silver_one", "pre_silver"),
+}
+_KEPT = {"companies": "kept_companies", "dates": "kept_dates", "positions": "kept_positions", "tag_silver": "kept_tags"}
+_PARTS["kept_filing_company"] = _renamed(_PARTS["filing_company"], _KEPT)
+_PARTS["kept_fact"] = _renamed(_PARTS["fact"], {**_KEPT, "filing_company": "kept_filing_company"})
+
+
 def _with(select: str) -> str:
     """``select`` with the sub-results it uses, directly or through others."""
 
@@ -413,6 +467,9 @@ _CHECKS: dict[str, str] = {
         [_residual("sub_imputed", c) for c in ("sic", "countryba", "fye", "fy", "period", "fp")]
         + [_residual("pre_imputed", c) for c in ("stmt", "plabel")]
     ),
+    "numbers_in_two_updates": "SELECT * FROM num_silver",
+    "companies_in_two_updates": "SELECT * FROM kept_companies",
+    "fact_in_two_updates": f"SELECT {_FACT} FROM kept_fact",
     "dim_tag": "SELECT * FROM tag_silver",
     "dim_submission": """
         SELECT adsh, form, period, filed, delay_days, accepted, instance FROM sub_silver""",

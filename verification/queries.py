@@ -20,7 +20,7 @@ from filingstrata.operators.breakdown import (
 )
 from filingstrata.operators.checks import check_not_null
 from filingstrata.operators.profile import profile, profile_flags
-from filingstrata.plans import gold, layers, silver
+from filingstrata.plans import gold, incremental, layers, silver
 from filingstrata.sources.bronze import conform, ingest, with_year_quarter
 from filingstrata.sources.staging import new_folder
 from filingstrata.sources.tables import Lake
@@ -222,6 +222,47 @@ def layers_in_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     return lake.read("gold", "fact_financial").select(*schemas.FACT)
 
 
+def tag_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """Tag definitions of 2001q1; every fifth one comes in 2001q2 only, every seventh again and reworded."""
+    first = tag_raw(spark, sf).withColumn("quarter", F.when(F.length("tag") % 5 == 0, 2).otherwise(1))
+    again = first.filter((F.length("tag") % 7 == 0) & (F.col("quarter") == 1))
+    return first.unionByName(again.withColumns({"tlabel": F.lit("again"), "quarter": F.lit(2)}))
+
+
+def two_updates(spark: SparkSession, sf: str) -> Lake:
+    """A lake that first took all quarters but 2001q2, and then that one; filings and all they hold share a quarter."""
+    raw, lake = new_folder(spark, "raw"), Lake(spark, new_folder(spark, "lake"))
+    filing = F.col("adsh").cast("long")
+    by_filing = {"year": (2001 - filing % 3).cast("int"), "quarter": (1 + filing % 2).cast("int")}
+    inputs = {
+        "sub": sub_raw(spark, sf).withColumns(by_filing),
+        "num": num_raw(spark, sf).withColumns(by_filing),
+        "pre": pre_raw(spark, sf).withColumns(by_filing),
+        "tag": tag_arrivals(spark, sf),
+    }
+    for stem, rows in inputs.items():
+        named = rows.withColumn("folder", F.concat("year", F.lit("q"), "quarter"))
+        named.drop("year", "quarter").write.partitionBy("folder").parquet(f"{raw}/stem={stem}")
+    every = [(year, quarter) for year in (1999, 2000, 2001) for quarter in (1, 2)]
+    options = {"pattern": "stem={stem}/folder=*", "add_missing": True, **YEARS}
+    incremental.update(lake, raw, [q for q in every if q != (2001, 2)], **options)
+    incremental.update(lake, raw, [(2001, 2)], **options)
+    return lake
+
+
+def numbers_in_two_updates(spark: SparkSession, sf: str) -> DataFrame:
+    return two_updates(spark, sf).read("silver", "numbers").select(*schemas.NUMBERS)
+
+
+def companies_in_two_updates(spark: SparkSession, sf: str) -> DataFrame:
+    """Companies with the numbers they were given first; those that came later follow."""
+    return two_updates(spark, sf).read("gold", "dim_company")
+
+
+def fact_in_two_updates(spark: SparkSession, sf: str) -> DataFrame:
+    return two_updates(spark, sf).read("gold", "fact_financial").select(*schemas.FACT)
+
+
 # ---- exploration --------------------------------------------------------------------------------
 
 
@@ -362,6 +403,7 @@ QUERIES: dict[str, Query] = {
         tag_clean, tag_clean_all_quarters, impute_residuals,
         dim_tag, dim_submission, dim_company, dim_date, dim_pre,
         fact_financial, fact_with_units, layers_in_two_runs,
+        numbers_in_two_updates, companies_in_two_updates, fact_in_two_updates,
         profile_numbers, profile_submissions, profile_tags, profile_presentations, profile_flag_rules,
         nulls_by_tag, nulls_by_tag_ge50, nulls_by_uom, nulls_by_qtrs,
         uom_share, tag_custom_share, custom_usage, qtrs_freq, datatype_freq, value_summary,
