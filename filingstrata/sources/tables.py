@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,15 +50,30 @@ class Lake:
         return df.filter(wanted)
 
     def write(
-        self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
-    ) -> None:
-        """Replace a table and its schema; with ``partition_by``, replace only the partitions in ``df``."""
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        partition_by: Sequence[str] = (),
+        metrics: Mapping[str, Column] | None = None,
+        without: Sequence[str] = (),
+    ) -> dict[str, object]:
+        """Replace a table and its schema; with ``partition_by``, replace only the partitions in ``df``.
+
+        ``metrics`` names aggregates over the written rows; the job that writes takes them along, and
+        their values are returned. They may use the columns ``without`` which the table is written.
+        """
+        seen = Observation()
+        if metrics:
+            df = df.observe(seen, *[value.alias(name) for name, value in metrics.items()])
+        df = df.drop(*without)
         writer = df.write.format(self.format).mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
         else:
             writer = writer.option("overwriteSchema", True)
         writer.save(self.path(layer, table))
+        return seen.get if metrics else {}
 
     def drop_partition(self, layer: str, table: str, values: dict[str, object]) -> None:
         """Remove one partition's files, named by the values of the first partition columns."""

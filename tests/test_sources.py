@@ -12,7 +12,17 @@ from pyspark.sql import functions as F
 
 from filingstrata import schemas
 from filingstrata.plans import layers
-from filingstrata.sources.bronze import cast_failures, conform, ingest, ingest_all, unread, with_year_quarter
+from filingstrata.sources.bronze import (
+    cast_failures,
+    conform,
+    ingest,
+    ingest_all,
+    ingest_checked,
+    read_bronze,
+    read_raw,
+    unread,
+    with_year_quarter,
+)
 from filingstrata.sources.staging import shared_folder, stage, staging_scope
 from filingstrata.sources.tables import Lake
 from filingstrata.sources.text import read_tsv, write_tsv
@@ -223,3 +233,52 @@ def test_staged_folders_go_with_their_scope(spark):
         inside = stage(spark.range(3), "scoped")
         (path, *_) = inside.inputFiles()
     assert not Path(path.removeprefix("file://").removeprefix("file:")).exists()
+
+
+@pytest.mark.parametrize(
+    ("kinds", "expected"),
+    [
+        (["int", "bigint"], "bigint"), (["int", "double"], "double"), (["bigint", "double", "int"], "double"), (["float", "double"], "double"),
+        (["int", "decimal(5,2)"], "decimal(12,2)"), (["int", "string"], "string"), (["date", "timestamp_ntz"], "timestamp_ntz"),
+        (["date", "int"], "string"), (["boolean"], "boolean"),
+    ],
+)
+@pytest.mark.parametrize("together", [True, False])
+def test_undeclared_columns_take_a_common_type(spark, tmp_path, kinds, expected, together):
+    values = {"string": "'x'", "date": "DATE'2024-01-02'", "timestamp_ntz": "TIMESTAMP_NTZ'2024-01-02 03:00:00'", "boolean": "true"}
+    raw, lake = str(tmp_path / "raw"), Lake(spark, str(tmp_path / "lake"))
+    for k, kind in enumerate(kinds):
+        row = frame(spark, schemas.TAG_SCHEMA, ["tag"], [(f"T{k}",)]).withColumn("extra", F.expr(f"CAST({values.get(kind, k + 1)} AS {kind})"))
+        row.write.parquet(f"{raw}/2024q{k + 1}/tag.parquet")
+    for quarters in [None] if together else [[(2024, k + 1)] for k in range(len(kinds))]:
+        ingest(lake, raw, "tag", quarters=quarters)
+    tags = read_bronze(lake, "tag")
+    assert dict(tags.dtypes)["extra"] == expected
+    given = [f"CAST({values.get(kind, k + 1)} AS {kind})" for k, kind in enumerate(kinds)]
+    wanted = [spark.sql(f"SELECT CAST({value} AS {expected})").first()[0] for value in given]
+    assert [row.extra for row in tags.orderBy("tag").collect()] == wanted
+    assert rows(read_bronze(lake, "tag", quarters=[(2024, 1)]), "tag") == [("T0",)]
+
+
+def test_checks_and_quarantine_of_a_load(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), Lake(spark, str(tmp_path / "lake"))
+    names = "adsh string, tag string, qtrs string, value string"
+    spark.createDataFrame([("a", "T", "1", "1.5"), ("b", "T", "n/a", "NM"), ("c", None, None, "2")], names).write.parquet(f"{raw}/2024q1/num.parquet")
+    spark.createDataFrame([("d", "T", "x", "3")], names).write.parquet(f"{raw}/2024q2/num.parquet")
+    report = {row.column: tuple(row)[1:] for row in ingest_checked(lake, raw, "num", add_missing=True).collect()}
+    assert report["qtrs"] == (4, 3, 2) and report["value"] == (4, 1, 1) and report["tag"] == (4, 1, 0) and report["uom"] == (4, 4, 0)
+    assert "rescued" not in lake.read("bronze", "numbers").columns and lake.read("bronze", "numbers").count() == 4
+    held = lake.read("quarantine", "numbers").select("adsh", "year", "quarter", F.explode("rescued").alias("r"))
+    assert rows(held.select("adsh", "quarter", "r.column", "r.value")) == [("b", 1, "qtrs", "n/a"), ("b", 1, "value", "NM"), ("d", 2, "qtrs", "x")]
+    # the mended quarter leaves the quarantine
+    spark.createDataFrame([("d", "T", "4", "3")], names).write.mode("overwrite").parquet(f"{raw}/2024q2/num.parquet")
+    assert {row.failures for row in ingest_checked(lake, raw, "num", add_missing=True, quarters=[(2024, 2)]).collect()} == {0}
+    assert rows(lake.read("quarantine", "numbers"), "adsh") == [("b",)]
+
+
+def test_ingest_is_one_scan_a_layout(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    _write_raw(spark, raw)
+    frame(spark, schemas.NUM_SCHEMA, ["adsh"], [("x",)]).write.parquet(f"{raw}/2024q2/num.parquet")
+    assert plan(read_raw(spark, raw, "num")).count("FileScan") == 2
+    assert plan(read_raw(spark, raw, "pre")).count("FileScan") == 1

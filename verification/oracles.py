@@ -442,6 +442,21 @@ _CHECKS: dict[str, str] = {
                      END || '/num.parquet' AS path
               FROM orders)""",
     "bronze_roundtrip": "SELECT * FROM sub_raw",
+    "load_checks": " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", count(*) AS rows, count(*) - count({value}) AS nulls,
+                   count(*) FILTER ({source} IS NOT NULL AND {value} IS NULL) AS failures FROM num_text"""
+        for name, source, value in [(n, n, n) for n in ("adsh", "tag", "version", "ddate", "uom")]
+        + [("qtrs", "qtrs", "TRY_CAST(qtrs AS INTEGER)"), ("value", "value", "TRY_CAST(value AS DECIMAL(28, 4))")]
+        + [(n, "NULL", "NULL") for n in ("coreg", "footnote")]
+    ),
+    "quarantined_numbers": """
+        SELECT adsh, tag, version, year, quarter, 'qtrs' AS "column", qtrs AS value FROM num_text
+        WHERE qtrs IS NOT NULL AND TRY_CAST(qtrs AS INTEGER) IS NULL
+        UNION ALL
+        SELECT adsh, tag, version, year, quarter, 'value', value FROM num_text
+        WHERE value IS NOT NULL AND TRY_CAST(value AS DECIMAL(28, 4)) IS NULL""",
+    "types_over_quarters": """
+        SELECT adsh, tag, value, year, quarter, CASE WHEN year < 2001 THEN CAST(adsh AS BIGINT) END AS filing FROM num_raw""",
     "sub_mode_impute": "SELECT adsh, cik, sic, countryba FROM sub_categories",
     "sub_date_impute": """
         SELECT d.adsh, s.cik, d.fye, d.period, d.fy, d.fp, s.filed

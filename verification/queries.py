@@ -19,9 +19,11 @@ from filingstrata.operators.breakdown import (
     usage_share,
 )
 from filingstrata.operators.checks import check_not_null
+from filingstrata.operators.impute import Fill
 from filingstrata.operators.profile import profile, profile_flags
+from filingstrata.operators.statistics import filled, group_statistics, merged_counts, value_counts
 from filingstrata.plans import gold, incremental, layers, silver
-from filingstrata.sources.bronze import conform, ingest, with_year_quarter
+from filingstrata.sources.bronze import conform, ingest, ingest_checked, read_bronze, with_year_quarter
 from filingstrata.sources.staging import new_folder
 from filingstrata.sources.tables import Lake
 from filingstrata.sources.text import read_tsv, write_tsv
@@ -95,6 +97,43 @@ def bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return lake.read("bronze", "submissions").select(*submissions.columns)
 
 
+def _in_folders(rows: DataFrame, path: str) -> None:
+    """Raw quarter folders of rows that name their year and quarter."""
+    named = rows.withColumn("folder", F.concat("year", F.lit("q"), "quarter"))
+    named.drop("year", "quarter").write.mode("append").partitionBy("folder").parquet(path)
+
+
+def load_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, NULLs and lost values of each declared column, counted by the load itself."""
+    raw = new_folder(spark, "raw")
+    _in_folders(num_text(spark, sf), raw)
+    return ingest_checked(Lake(spark, new_folder(spark, "lake")), raw, "num", pattern="folder=*", add_missing=True)
+
+
+def quarantined_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """What the casts of a load lost, with the values as they came."""
+    raw, lake = new_folder(spark, "raw"), Lake(spark, new_folder(spark, "lake"))
+    _in_folders(num_text(spark, sf), raw)
+    ingest_checked(lake, raw, "num", pattern="folder=*", add_missing=True)
+    held = lake.read("quarantine", "numbers")
+    return held.select("adsh", "tag", "version", "year", "quarter", F.explode("rescued").alias("lost")).select(
+        "adsh", "tag", "version", "year", "quarter", "lost.column", "lost.value"
+    )
+
+
+def types_over_quarters(spark: SparkSession, sf: str) -> DataFrame:
+    """An undeclared column that is int in the quarters of 1999, long in those of 2000 and absent in 2001."""
+    raw, lake = new_folder(spark, "raw"), Lake(spark, new_folder(spark, "lake"))
+    numbers, number = num_raw(spark, sf), F.col("adsh").cast("long")
+    for year, kind in ((1999, "int"), (2000, "long"), (2001, None)):
+        rows = numbers.filter(F.col("year") == year)
+        _in_folders(rows.withColumn("filing", number.cast(kind)) if kind else rows, raw)
+    for years in ((1999,), (2000, 2001)):
+        quarters = [(year, quarter) for year in years for quarter in (1, 2, 3, 4)]
+        ingest(lake, raw, "num", pattern="folder=*", add_missing=True, quarters=quarters)
+    return read_bronze(lake, "num").select("adsh", "tag", "value", "year", "quarter", "filing")
+
+
 # ---- silver -------------------------------------------------------------------------------------
 
 
@@ -116,7 +155,12 @@ def num_median_impute(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def num_median_impute_exact(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.impute_num_values(num_raw(spark, sf), sub_raw(spark, sf))
+    """The same from counted values, as updates by quarter keep them."""
+    numbers, by, fills = num_raw(spark, sf), ["cik", "tag", "uom"], [Fill("value", "median")]
+    owned = numbers.join(sub_raw(spark, sf).select("adsh", "cik"), "adsh", "left").select(*numbers.columns, "cik")
+    counted = merged_counts(value_counts(owned, by, fills, ["year", "quarter"]), by, fills)
+    done = filled(owned, group_statistics(counted, by, fills), by, fills)
+    return done.select(*numbers.columns, F.col(fills[0].found).isNull().alias("is_value_incomplete"))
 
 
 def num_median_large_groups(spark: SparkSession, sf: str) -> DataFrame:
@@ -396,7 +440,7 @@ def overwrite_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        conform_numbers, path_year_quarter, bronze_roundtrip,
+        conform_numbers, path_year_quarter, bronze_roundtrip, load_checks, quarantined_numbers, types_over_quarters,
         sub_mode_impute, sub_date_impute, sub_clean,
         num_median_impute, num_median_impute_exact, num_median_large_groups, num_clean,
         pre_stmt_impute, pre_label_impute, pre_clean,
