@@ -57,6 +57,7 @@ class Lake:
         partition_by: Sequence[str] = (),
         metrics: Mapping[str, Column] | None = None,
         without: Sequence[str] = (),
+        options: Mapping[str, str] | None = None,
     ) -> dict[str, object]:
         """Replace a table and its schema; with ``partition_by``, replace only the partitions in ``df``.
 
@@ -67,7 +68,7 @@ class Lake:
         if metrics:
             df = df.observe(seen, *[value.alias(name) for name, value in metrics.items()])
         df = df.drop(*without)
-        writer = df.write.format(self.format).mode("overwrite")
+        writer = df.write.format(self.format).mode("overwrite").options(**(options or {}))
         if partition_by:
             writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
         else:
@@ -100,15 +101,20 @@ class Lake:
         An earlier entry is replaced only if it is an external table at this lake's path; otherwise
         ValueError is raised and the entry stays.
         """
+        name = self.claim(layer, table, schema)
+        self.spark.catalog.createTable(name, path=self.path(layer, table), source=self.format)
+        if {"year", "quarter"} <= set(self._partition_columns(name)):
+            self.spark.catalog.recoverPartitions(name)
+        return f"{schema or layer}.{table}"
+
+    def claim(self, layer: str, table: str, schema: str | None = None) -> str:
+        """Make room for a catalog entry and return its quoted name; ValueError as in :meth:`register`."""
         name = self._name(layer, table, schema)
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema or layer}`")
         if self.is_registered(layer, table, schema):
             self._require_own(layer, table, schema)
             self.spark.sql(f"DROP TABLE {name}")  # external: the files stay
-        self.spark.catalog.createTable(name, path=self.path(layer, table), source=self.format)
-        if {"year", "quarter"} <= set(self._partition_columns(name)):
-            self.spark.catalog.recoverPartitions(name)
-        return f"{schema or layer}.{table}"
+        return name
 
     def is_registered(self, layer: str, table: str, schema: str | None = None) -> bool:
         catalog = self.spark.catalog

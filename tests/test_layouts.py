@@ -1,0 +1,103 @@
+"""Bucketed tables, tables for lookups, and profiles from sketches."""
+
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from filingstrata.operators.profile import profile
+from filingstrata.operators.sketches import merged_state, profile_of_state, profile_state
+from filingstrata.plans import gold, silver
+from filingstrata.sources.buckets import register_bucketed, write_bucketed, write_for_lookup
+from filingstrata.sources.tables import Lake
+from helpers import plan, rows
+from verification.adapters import num_raw, pre_raw, sub_raw, tag_raw
+
+SF = "/root/testdata/sf0.001"
+KEY = ["adsh", "tag", "version"]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def test_the_fact_of_bucketed_tables_shuffles_nothing(no_broadcast, tmp_path):
+    spark, lake, schema = no_broadcast, Lake(no_broadcast, str(tmp_path)), f"b{uuid.uuid4().hex}"
+    lake.write(silver.silver_numbers(num_raw(spark, SF), sub_raw(spark, SF), 1997, 2000), "silver", "plain")
+    numbers, sub = lake.read("silver", "plain"), silver.silver_submissions(sub_raw(spark, SF))
+    pre, tags = silver.silver_presentations(pre_raw(spark, SF)), silver.silver_tags(tag_raw(spark, SF))
+    places, companies = gold.dim_pre(pre), gold.dim_company(sub)
+    owned = gold.filing_keys(sub, tags, pre, places, companies)
+    write_bucketed(lake, numbers, "silver", "numbers", KEY, 6, schema)
+    write_bucketed(lake, owned, "silver", "filing_keys", KEY, 6, schema)
+    lake.write(gold.dim_date(numbers), "gold", "dim_date")
+    dates = lake.read("gold", "dim_date")
+    expected = rows(gold.build_fact(numbers, sub, tags, dates, pre, places, companies))
+    for known in ("written", "registered"):
+        if known == "registered":  # as in a later session
+            for table in ("numbers", "filing_keys"):
+                register_bucketed(lake, "silver", table, KEY, 6, schema)
+        fact = gold.fact_of_keys(spark.table(f"{schema}.numbers"), dates, spark.table(f"{schema}.filing_keys"))
+        text = plan(fact)
+        assert "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text
+        assert text.count("SelectedBucketsCount: 6 out of 6") == 2 and "SortMergeJoin" in text
+        assert rows(fact) == expected and expected
+
+
+def _rows_read(df) -> int:
+    """Rows that the scans of an executed plan gave."""
+    df.collect()
+    done = df._jdf.queryExecution().executedPlan()
+    done = done.finalPhysicalPlan() if "Adaptive" in done.getClass().getSimpleName() else done
+    leaves = done.collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+def test_a_lookup_reads_few_rows(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    filings = spark.range(0, 400_000, 1, 8).select(
+        F.format_string("%010d", F.col("id") * 7919 % 100_003).alias("adsh"), F.rand(1).alias("value"), F.lit(2024).alias("year")
+    )
+    lake.write(filings, "bronze", "plain")
+    write_for_lookup(lake, filings, "bronze", "sorted", "adsh", distinct=50_000)
+    one = F.col("adsh") == "0000004711"
+    scanned, found = (lake.read("bronze", name).filter(one) for name in ("plain", "sorted"))
+    assert rows(scanned, "adsh", "value") == rows(found, "adsh", "value") != []
+    assert _rows_read(scanned) == 400_000
+    assert _rows_read(found) <= 400_000 * 0.6
+    absent = lake.read("bronze", "sorted").filter(F.col("adsh") == "0000004711x")
+    assert _rows_read(absent) == 0  # inside every file's bounds; only the Bloom filters tell
+
+
+def test_merged_profiles_keep_to_their_errors(spark):
+    table = spark.range(0, 60_000, 1, 6).select(
+        (F.col("id") % 4).alias("quarter"),
+        F.concat(F.lit("v"), F.col("id") * 31 % 20_011).alias("many"),
+        F.when(F.col("id") % 10 > 0, F.element_at(F.array(*map(F.lit, "aaabbc")), (F.col("id") % 6 + 1).cast("int"))).alias("few"),
+        F.when(F.col("id") % 3 > 0, ((F.col("id") * 7919) % 60_000).cast("decimal(28,4)")).alias("value"),
+        F.lit(None).cast("string").alias("none"), (F.col("id") % 2 == 0).alias("flag"),
+    )
+    states = profile_state(table, ["quarter"])
+    assert states.count() == 4 * 5
+    merged = {row.cols: row for row in profile_of_state(merged_state(states)).collect()}
+    exact = {row.cols: row for row in profile(table.drop("quarter")).collect()}
+    for name, row in merged.items():
+        assert row.rows == 60_000 and row.null_percentage == pytest.approx(exact[name].null_percentage)
+        assert row.distinct_estimate == pytest.approx(exact[name].distinct_count, rel=0.05)
+    assert (merged["few"].top1_value, merged["few"].top1_value_count) == (exact["few"].top1_value, exact["few"].top1_value_count)
+    assert merged["none"].top1_value is None and merged["many"].p50 is None
+    values = sorted(float(row.value) for row in table.where("value is not null").collect())
+    found = merged["value"]
+    assert (found.low, found.high) == (values[0], values[-1]) and found.mean == pytest.approx(sum(values) / len(values))
+    for share, value in ((0.25, found.p25), (0.5, found.p50), (0.75, found.p75)):
+        rank = sum(v <= value for v in values) / len(values)
+        assert abs(rank - share) <= 0.0165
+    whole = {row.cols: row for row in profile_of_state(profile_state(table.drop("quarter"))).collect()}
+    assert whole["value"].stddev == pytest.approx(found.stddev) and whole["many"].null_percentage == 0
+    empty = profile_of_state(merged_state(profile_state(table.limit(0).drop("quarter"))))
+    assert {row.rows for row in empty.collect()} == {0}

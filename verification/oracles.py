@@ -493,6 +493,7 @@ _CHECKS: dict[str, str] = {
     "dim_pre": "SELECT * FROM positions",
     "fact_financial": f"SELECT {_FACT} FROM fact",
     "layers_in_two_runs": f"SELECT {_FACT} FROM fact",
+    "fact_from_buckets": f"SELECT {_FACT} FROM fact",
     "fact_with_units": f"SELECT {_FACT}, uom, qtrs FROM fact",
     "profile_numbers": _profile("num_raw", _NUM_TYPES),
     "profile_submissions": _profile("sub_raw", _SUB_TYPES),
@@ -519,6 +520,23 @@ _CHECKS: dict[str, str] = {
     "qtrs_freq": _frequency("num_raw", "qtrs"),
     "datatype_freq": _frequency("tag_raw", "datatype"),
     "value_summary": f"{_summary('value')} UNION ALL {_summary('qtrs')}",
+    "filing_lookup_stored": "SELECT * FROM num_raw WHERE adsh = '0000000007'",
+    "profile_by_quarter": " UNION ALL ".join(
+        f"""SELECT '{name}' AS cols, '{kind}' AS data_types, count(*) AS rows,
+                   round((count(*) - count({name})) * 100.0 / count(*), 6) AS null_percentage, true AS distinct_close,
+                   {f"(SELECT v FROM {best})" if name in ("uom", "version") else "CAST(NULL AS VARCHAR)"} AS top1_value,
+                   {f"(SELECT n FROM {best})" if name in ("uom", "version") else "CAST(NULL AS BIGINT)"} AS top1_value_count,
+                   {", ".join(f"CAST({value} AS DOUBLE) AS {column}" for column, value in found.items())}
+            FROM num_raw"""
+        for name, kind in _NUM_TYPES.items()
+        if name not in ("year", "quarter")
+        for best in [f"(SELECT {name} AS v, count(*) AS n FROM num_raw WHERE {name} IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 1)"]
+        for found in [
+            dict.fromkeys(("low", "high", "mean", "stddev"), "NULL") if kind == "string" else
+            {"low": f"min({name})", "high": f"max({name})", "mean": f"round(avg(CAST({name} AS DOUBLE)), 3)",
+             "stddev": f"round(stddev_samp(CAST({name} AS DOUBLE)), 3)"}
+        ]
+    ),
     "filing_lookup": "SELECT * FROM num_raw WHERE adsh = '0000000007'",
     "non_monetary_tags": "SELECT * FROM tag_raw WHERE datatype <> 'ECONOMY'",
     "distinct_forms": "SELECT DISTINCT form FROM sub_raw",

@@ -21,9 +21,11 @@ from filingstrata.operators.breakdown import (
 from filingstrata.operators.checks import check_not_null
 from filingstrata.operators.impute import Fill
 from filingstrata.operators.profile import profile, profile_flags
+from filingstrata.operators.sketches import merged_state, profile_of_state, profile_state
 from filingstrata.operators.statistics import filled, group_statistics, merged_counts, value_counts
 from filingstrata.plans import gold, incremental, layers, silver
 from filingstrata.sources.bronze import conform, ingest, ingest_checked, read_bronze, with_year_quarter
+from filingstrata.sources.buckets import write_bucketed, write_for_lookup
 from filingstrata.sources.staging import new_folder
 from filingstrata.sources.tables import Lake
 from filingstrata.sources.text import read_tsv, write_tsv
@@ -251,6 +253,19 @@ def fact_with_units(spark: SparkSession, sf: str) -> DataFrame:
     return _fact(spark, sf, keep=["uom", "qtrs"])
 
 
+def fact_from_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact of numbers and keys stored in the same buckets."""
+    lake = Lake(spark, new_folder(spark, "lake"))
+    schema = f"buckets_{lake.root.rsplit('-', 1)[1]}"
+    lake.write(_silver_num(spark, sf), "silver", "plain")
+    numbers, sub, pre = lake.read("silver", "plain"), _silver_sub(spark, sf), _silver_pre(spark, sf)
+    owned = gold.filing_keys(sub, _silver_tag(spark, sf), pre, gold.dim_pre(pre), gold.dim_company(sub))
+    key = ["adsh", "tag", "version"]
+    stored = [write_bucketed(lake, df, "silver", name, key, 8, schema) for name, df in (("numbers", numbers), ("filing_keys", owned))]
+    bucketed, keys = (spark.table(name) for name in stored)
+    return gold.fact_of_keys(bucketed, gold.dim_date(numbers), keys)
+
+
 def layers_in_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     """The fact after a run over the first quarters and one over the others; the first stay."""
     raw, lake = new_folder(spark, "raw"), Lake(spark, new_folder(spark, "lake"))
@@ -386,6 +401,31 @@ def filing_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return num_raw(spark, sf).filter(F.col("adsh") == "0000000007")
 
 
+def filing_lookup_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """One filing from a table sorted by filing, with Bloom filters."""
+    lake = Lake(spark, new_folder(spark, "lake"))
+    write_for_lookup(lake, num_raw(spark, sf), "bronze", "numbers", "adsh", partition_by=["year", "quarter"])
+    return lake.read("bronze", "numbers").filter(F.col("adsh") == "0000000007")
+
+
+def profile_by_quarter(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile of the numbers merged from the stored states of their quarters.
+
+    ``distinct_close`` tells whether the estimate is within 5 % of the exact count.
+    """
+    lake, quarter = Lake(spark, new_folder(spark, "lake")), ["year", "quarter"]
+    lake.write(profile_state(num_raw(spark, sf), quarter), "state", "profile", partition_by=quarter)
+    merged = profile_of_state(merged_state(lake.read("state", "profile")))
+    exact = profile(num_raw(spark, sf).drop(*quarter)).select("cols", "distinct_count")
+    close = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= F.greatest(F.col("distinct_count") * 0.05, F.lit(1))
+    few = F.col("cols").isin("uom", "version")
+    return merged.join(exact, "cols").select(
+        "cols", "data_types", "rows", F.round("null_percentage", 6).alias("null_percentage"), close.alias("distinct_close"),
+        F.when(few, F.col("top1_value")).alias("top1_value"), F.when(few, F.col("top1_value_count")).alias("top1_value_count"),
+        "low", "high", F.round("mean", 3).alias("mean"), F.round("stddev", 3).alias("stddev"),
+    )
+
+
 def non_monetary_tags(spark: SparkSession, sf: str) -> DataFrame:
     return tag_raw(spark, sf).filter(F.col("datatype") != "ECONOMY")
 
@@ -446,12 +486,12 @@ QUERIES: dict[str, Query] = {
         pre_stmt_impute, pre_label_impute, pre_clean,
         tag_clean, tag_clean_all_quarters, impute_residuals,
         dim_tag, dim_submission, dim_company, dim_date, dim_pre,
-        fact_financial, fact_with_units, layers_in_two_runs,
+        fact_financial, fact_with_units, fact_from_buckets, layers_in_two_runs,
         numbers_in_two_updates, companies_in_two_updates, fact_in_two_updates,
-        profile_numbers, profile_submissions, profile_tags, profile_presentations, profile_flag_rules,
+        profile_numbers, profile_submissions, profile_tags, profile_presentations, profile_flag_rules, profile_by_quarter,
         nulls_by_tag, nulls_by_tag_ge50, nulls_by_uom, nulls_by_qtrs,
         uom_share, tag_custom_share, custom_usage, qtrs_freq, datatype_freq, value_summary,
-        filing_lookup, non_monetary_tags, distinct_forms,
+        filing_lookup, filing_lookup_stored, non_monetary_tags, distinct_forms,
         top_tags, uom_filter, quarter_end_dates, value_parse,
         tsv_roundtrip, overwrite_roundtrip,
     )
