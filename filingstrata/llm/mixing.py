@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 
 from .common import numbered
 
-PERIOD = 1_000
+SLOTS = 16_384  # a corpus is cut into about so many blocks at most; larger ones get larger blocks
+LEAST_BLOCK = 64
+_EPS = 1e-9  # of a slot: quotients of real weights are not exact
 
 
-def shares(counts: DataFrame, weights: Mapping[str, float] | None, power: float, period: int) -> DataFrame:
-    """(mix_source, rows, share): whole numbers that add up to ``period``, at least one each.
+def weights_of(counts: DataFrame, weights: Mapping[str, float] | None, power: float) -> DataFrame:
+    """(mix_source, rows, share) of the sources that take part; shares add up to 1.
 
-    Without ``weights`` a source weighs as its rows to the ``power``. What rounding leaves goes to the
-    largest fractions.
+    Without ``weights`` a source weighs as its rows to the ``power``.
     """
     if weights is None:
         weighed = counts.withColumn("w", F.pow("rows", F.lit(power)))
@@ -25,82 +26,93 @@ def shares(counts: DataFrame, weights: Mapping[str, float] | None, power: float,
         pairs = [x for k, v in weights.items() if v > 0 for x in (F.lit(k), F.lit(float(v)))]
         table = F.create_map(*pairs) if pairs else F.create_map(F.lit(""), F.lit(0.0))
         weighed = counts.withColumn("w", F.try_element_at(table, F.col("mix_source"))).where("w is not null and w > 0")
-    everything = W.partitionBy()  # one row a source; more sources than slots are refused below
-    part = weighed.select(
-        "mix_source", "rows", ((F.lit(period) - F.count("*").over(everything)) * F.col("w") / F.sum("w").over(everything)).alias("more"),
-        F.count("*").over(everything).alias("sources"),
-    )
-    whole = part.select("mix_source", "rows", "sources", (1 + F.floor("more")).alias("base"), (F.col("more") - F.floor("more")).alias("left"))
-    missing = F.lit(period) - F.sum("base").over(everything)
-    ranked = whole.withColumn("missing", missing).withColumn(
-        "rank", F.row_number().over(W.partitionBy().orderBy(F.desc("left"), "mix_source"))
-    )
-    enough = F.when(F.col("sources") > period, F.raise_error(F.lit(f"more sources than the {period} slots of a period")))
-    return ranked.select("mix_source", "rows", F.coalesce(enough.cast("long"), F.col("base") + (F.col("rank") <= F.col("missing")).cast("long")).alias("share"))
+    total = F.sum("w").over(W.partitionBy())  # one row a source
+    return weighed.select("mix_source", "rows", (F.col("w") / total).alias("share"))
+
 
+def timetable(shared: DataFrame) -> DataFrame:
+    """(mix_source, mix_share, mix_block, mix_slot, mix_complete): the slot of each block of each source.
 
-def timetable(shared: DataFrame, period: int) -> DataFrame:
-    """(mix_source, share, rows, nth, slot): the slot of each of a source's blocks within one period.
+    ``shared`` has mix_source, share and ``need``, the source's blocks. Block j of a source with share w is
+    released at floor(j / w) and due at ceil((j + 1) / w). In each slot the released block with the
+    earliest deadline goes. The shares fill all slots, so every deadline holds, and after any slot each
+    source is less than one block away from its share of the slots. That goes on until a source has no
+    block for its slot; what is left then follows in the order of its deadlines, with mix_complete false.
 
-    Block j of a source with share p is released at floor(j * period / p) and due at
-    ceil((j + 1) * period / p). In each slot the released block with the earliest deadline goes; since
-    the shares fill the period, every deadline holds, and after any slot each source is less than one
-    block away from its target. The schedule repeats after a period.
+    One row holds all sources and is folded over the slots: steps are slots times sources.
     """
-    listed = shared.groupBy().agg(F.sort_array(F.collect_list(F.struct("mix_source", "share", "rows"))).alias("s")).where("size(s) > 0")
+    one = F.struct("mix_source", "share", "need")
+    listed = shared.groupBy().agg(F.sort_array(F.collect_list(one)).alias("s"), F.sum("need").alias("blocks")).where("size(s) > 0")
 
     def step(state, t):
         def urgent(s, k):
             done = F.element_at(state["done"], k + 1)
-            released = F.floor(done * period / s["share"])
-            due = F.ceil((done + 1) * period / s["share"])
-            return F.when(released <= t, F.struct(due.alias("due"), k.alias("k")))
+            window = F.struct(F.ceil((done + 1) / s["share"] - _EPS).alias("due"), k.alias("k"))
+            return F.when(F.floor(done / s["share"] + _EPS) <= t, window)
+
+        def taken(chosen):
+            lacking = F.element_at(state["done"], chosen + 1) >= F.element_at("s", chosen + 1)["need"]
+            return F.struct(chosen.alias("k"), (state["over"] | F.coalesce(lacking, F.lit(True))).alias("over"))
+
+        def moved(c):
+            done = F.transform(state["done"], lambda n, k: n + (~c["over"] & (k == c["k"])).cast("long"))
+            order = F.when(c["over"], state["order"]).otherwise(F.concat(state["order"], F.array(F.coalesce(c["k"], F.lit(0)).cast("int"))))
+            return F.struct(done.alias("done"), order.alias("order"), c["over"].alias("over"))
 
-        chosen = F.array_min(F.transform(F.col("s"), urgent))["k"]
-        return F.struct(
-            F.transform(state["done"], lambda n, k: n + (k == chosen).cast("long")).alias("done"),
-            F.concat(state["order"], F.array(chosen.cast("int"))).alias("order"),
-        )
+        # arrays of one element name the choice, so that it is made once a slot
+        chosen = F.array(F.array_min(F.transform(F.col("s"), urgent))["k"])
+        return F.transform(F.transform(chosen, taken), moved)[0]
 
     start = F.struct(
-        F.transform(F.col("s"), lambda s: F.lit(0).cast("long")).alias("done"), F.array().cast("array<int>").alias("order")
-    )
-    folded = listed.select("s", F.aggregate(F.sequence(F.lit(0), F.lit(period - 1)), start, step)["order"].alias("order"))
+        F.transform(F.col("s"), lambda s: F.lit(0).cast("long")).alias("done"), F.array().cast("array<int>").alias("order"),
+        F.lit(False).alias("over"),
+    )
+    folded = listed.select("s", F.aggregate(F.sequence(F.lit(0).cast("long"), F.col("blocks")), start, step).alias("f"))
+    folded = folded.select("s", F.col("f.done").alias("done"), F.col("f.order").alias("order"))
+
     slots = folded.select("s", F.posexplode("order").alias("slot", "k")).select(F.element_at("s", F.col("k") + 1).alias("s"), "slot")
-    slots = slots.select("s.*", "slot")
-    nth = F.row_number().over(W.partitionBy("mix_source").orderBy("slot")) - 1
-    return slots.withColumn("nth", nth)
+    nth = F.row_number().over(W.partitionBy("s.mix_source").orderBy("slot")) - 1
+    placed = slots.select("s.*", nth.cast("long").alias("mix_block"), F.col("slot").cast("long").alias("mix_slot"), F.lit(True).alias("mix_complete"))
+
+    each = folded.select(F.size("order").alias("end"), F.posexplode(F.arrays_zip("s", "done")).alias("k", "z")).where("z.done < z.s.need")
+    left = each.select("end", "z.s.*", F.explode(F.sequence(F.col("z.done"), F.col("z.s.need") - 1)).alias("mix_block"))
+    due = F.ceil((F.col("mix_block") + 1) / F.col("share") - _EPS)
+    after = F.row_number().over(W.partitionBy().orderBy(due, "mix_source", "mix_block")) - 1  # one row a block
+    rest = left.select("mix_source", "share", "need", "mix_block", (F.col("end") + after).cast("long").alias("mix_slot"), F.lit(False).alias("mix_complete"))
+    return placed.unionByName(rest).select("mix_source", F.col("share").alias("mix_share"), "mix_block", "mix_slot", "mix_complete")
 
 
 def interleave(
-    docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = 64, period: int = PERIOD, power: float = 0.7
+    docs: DataFrame,
+    weights: Mapping[str, float] | None = None,
+    block: int | None = None,
+    slots: int = SLOTS,
+    power: float = 0.7,
 ) -> DataFrame:
     """The rows of ``docs`` with their place in a mixture of sources.
 
-    Adds mix_share (of ``period`` slots), mix_block (within the source), mix_slot, mix_position and
-    mix_complete. Blocks of ``block`` rows follow a hash of the id; the rows in the order of
-    mix_position are the mixture. mix_complete is true as long as no source has run out before, that
-    is where the target weights hold with less than one block of deviation; later rows keep their
-    slots. All rows are returned. A null source counts as the empty name; sources without a weight
-    have null slots; ids may be null or repeated; no rows give no rows. Columns named mix_* are replaced.
+    Adds mix_share (the source's target weight, all weights adding up to 1), mix_block (within the
+    source), mix_slot, mix_position and mix_complete. Blocks follow a hash of the id; the rows in the
+    order of mix_position are the mixture. A block has ``block`` rows; without it LEAST_BLOCK, or more
+    where the rows would fill over ``slots`` blocks. mix_complete is true as long as no source has run
+    out before, that is where each source is less than one block away from its weight after any slot;
+    later rows follow by their deadlines. All rows are returned. A null source counts as the empty
+    name; sources without a weight have null slots; ids may be null or repeated; no rows give no rows.
+    Columns named mix_* are replaced.
     """
     added = ("mix_source", "mix_share", "mix_block", "mix_slot", "mix_position", "mix_complete")
     rows = docs.drop(*added).withColumn("mix_source", F.coalesce(F.col("source"), F.lit("")))
     counts = rows.groupBy("mix_source").agg(F.count("*").alias("rows"))
-    table = timetable(shares(counts, weights, power, period), period)
-    # the slot of the first block that a source lacks
-    need = F.ceil(F.col("rows") / block)
-    lacks = F.when(F.col("nth") == need % F.col("share"), F.floor(need / F.col("share")) * period + F.col("slot"))
-    table = table.withColumn("mix_end", F.min(lacks).over(W.partitionBy()))
-    placed = numbered(rows, ["mix_source"], F.xxhash64("doc_id"), "mix_n", few_groups=True)
+    if block is None:
+        block = max(LEAST_BLOCK, -(-(counts.agg(F.sum("rows")).first()[0] or 0) // slots))
+    shared = weights_of(counts, weights, power).withColumn("need", F.ceil(F.col("rows") / block))
+    table = timetable(shared)
+    placed = numbered(rows, ["mix_source"], F.xxhash64("doc_id"), "mix_n")
     placed = placed.withColumn("mix_block", F.floor(F.col("mix_n") / block))
-    share = F.broadcast(table.groupBy("mix_source").agg(F.first("share").alias("mix_share")))  # at most ``period`` rows
-    placed = placed.join(share, "mix_source", "left").withColumn("mix_nth", F.pmod(F.col("mix_block"), F.col("mix_share")))
-    slots = table.select("mix_source", F.col("nth").alias("mix_nth"), F.col("slot").alias("mix_at"), "mix_end")
-    placed = placed.join(F.broadcast(slots), ["mix_source", "mix_nth"], "left")  # ``period`` rows
-    placed = placed.withColumn("mix_slot", F.floor(F.col("mix_block") / F.col("mix_share")) * period + F.col("mix_at"))
-    placed = placed.withColumn("mix_position", F.col("mix_slot") * block + F.col("mix_n") % block)
-    complete = F.coalesce(F.col("mix_slot") < F.col("mix_end"), F.lit(False))
+    placed = placed.join(table, ["mix_source", "mix_block"], "left")
+    position = F.col("mix_slot") * block + F.col("mix_n") % block
+    kept = [c for c in docs.columns if c not in added]
+    named = F.when(F.col("mix_slot").isNotNull(), F.col("mix_block")).alias("mix_block")
     return placed.select(
-        *[c for c in docs.columns if c not in added], "mix_share", "mix_block", "mix_slot", "mix_position", complete.alias("mix_complete")
+        *kept, "mix_share", named, "mix_slot", position.alias("mix_position"), F.coalesce("mix_complete", F.lit(False)).alias("mix_complete")
     )

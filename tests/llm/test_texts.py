@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from filingstrata.llm import decontaminate, jaccard, mixing, passages, preferences, queries
 from filingstrata.llm.components import connected
@@ -289,30 +290,51 @@ def test_mixture_stays_within_a_block_of_its_weights(spark, weights):
     sizes = {"a": 700, "b": 250, "c": 40, None: 90, "few": 3}
     rows = [(k * 10 + i, s, "x") for i, (s, n) in enumerate(sizes.items()) for k in range(n)] + [(None, "a", "x"), (0, "a", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, source string, mix_slot string").repartition(4)
-    mixed = mixing.interleave(docs, weights, block=4, period=100)
+    mixed = mixing.interleave(docs, weights, block=4)
     assert mixed.columns == ["doc_id", "source", "mix_share", "mix_block", "mix_slot", "mix_position", "mix_complete"]
     got = mixed.collect()
     assert len(got) == len(rows)
     placed = [r for r in got if r.mix_slot is not None]
     assert len({r.mix_position for r in placed}) == len(placed)
     assert {r.source for r in got if r.mix_slot is None} == ({"few"} if weights else set())
-    share = {r.source or "": r.mix_share for r in placed}
-    assert sum(share.values()) == 100
-    slots = sorted({(r.mix_slot, r.source or "") for r in placed if r.mix_complete})
-    assert [s for s, _ in slots] == list(range(len(slots))) and slots
-    taken = Counter()
-    for n, (_, source) in enumerate(slots, 1):
-        taken[source] += 1
-        assert all(abs(taken[s] - n * w / 100) < 1 for s, w in share.items())
+    counts = {s or "": n for s, n in Counter(r[1] for r in rows).items()}
+    wanted = weights or {s: n**0.7 for s, n in counts.items()}
+    share = {s: w / sum(wanted.values()) for s, w in wanted.items()}
+    assert {r.source or "": r.mix_share for r in placed} == pytest.approx(share)
+    _within_a_block(placed, share)
     full = Counter((r.source, r.mix_block) for r in placed)
     last = {s: max(b for (t, b) in full if t == s) for s, _ in full}
     assert all(n == 4 or b == last[s] for (s, b), n in full.items())
 
 
-def test_more_sources_than_slots(spark):
-    docs = spark.createDataFrame([(k, str(k)) for k in range(11)], "doc_id long, source string")
-    with pytest.raises(Exception, match="more sources than the 10 slots"):
-        mixing.interleave(docs, period=10).collect()
+def _within_a_block(placed, share):
+    """Deviation from the real weights after each slot; the mixture ends where a source has no block for its slot."""
+    every = sorted({(r.mix_slot, r.source or "", r.mix_complete) for r in placed})
+    assert [slot for slot, *_ in every] == list(range(len(every)))
+    slots = [source for _, source, complete in every if complete]
+    taken = Counter()
+    for n, source in enumerate(slots, 1):
+        taken[source] += 1
+        assert all(abs(taken[s] - n * w) < 1 + 1e-6 for s, w in share.items())
+    need = Counter(source for _, source, _ in every)
+    assert slots and any(taken[s] == need[s] for s in share)
+
+
+@pytest.mark.parametrize("sources", [20, 300, 1200])
+def test_half_the_mixture_from_one_of_many_sources(spark, sources):
+    weights = {"hot": 0.5} | {f"s{k:04d}": 0.5 / (sources - 1) for k in range(sources - 1)}
+    rows = [(k, "hot") for k in range(1300)] + [(10_000 + k, f"s{k % (sources - 1):04d}") for k in range(1300)]
+    placed = mixing.interleave(spark.createDataFrame(rows, "doc_id long, source string"), weights, block=1).collect()
+    _within_a_block(placed, weights)
+    first = {r.mix_slot: r.source for r in placed if r.mix_complete and r.mix_slot < 1000}
+    assert abs(sum(s == "hot" for s in first.values()) - len(first) / 2) < 1 and len(first) == 1000
+
+
+def test_blocks_grow_with_the_corpus(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"))
+    placed = mixing.interleave(docs, slots=50).collect()
+    assert max(Counter((r.source, r.mix_block) for r in placed).values()) == 400 and len({r.mix_slot for r in placed}) <= 53
+    assert sorted(r.mix_position for r in placed)[-1] < 53 * 400
 
 
 def test_preference_pairs(spark):
