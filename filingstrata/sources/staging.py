@@ -41,11 +41,17 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/filingstrata/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return a scan of the written files."""
-    path = new_folder(df.sparkSession, label)
+def scoped_folder(spark: SparkSession, label: str) -> str:
+    """As :func:`new_folder`; an open :func:`staging_scope` removes it at its end."""
+    path = new_folder(spark, label)
     if (staged := _open.get()) is not None:
         staged.append(path)
+    return path
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once and return a scan of the written files."""
+    path = scoped_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
