@@ -14,6 +14,7 @@ from filingstrata.sources.staging import stage
 from .common import fold, lower_ascii
 
 _START, _STOP = "\x02", "\x03"
+_STRETCH = 256  # characters that are cut into grams at once
 _BINS = 4_000  # of the calibration, from -10 to 10
 
 
@@ -57,9 +58,16 @@ def with_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def _grams(texts: DataFrame, order: int, *keep: str) -> DataFrame:
     """A row for each character and the end of each text, with the ``order`` characters before it."""
     padded = F.concat(F.lit(_START * order), "text", F.lit(_STOP))
-    places = F.sequence(F.lit(1), F.length("text") + 1)
-    rows = texts.select(*keep, padded.alias("padded"), F.explode(places).alias("at"))
-    return rows.select(*keep, F.substring("padded", F.col("at"), F.lit(order + 1)).alias("gram"))
+    # a place in a text is found from its start, so long texts are cut into overlapping stretches first
+    stretches = F.transform(
+        F.sequence(F.lit(0), F.length("text"), F.lit(_STRETCH)), lambda at: F.substring(padded, at + 1, F.lit(_STRETCH + order))
+    )
+
+    def inside(stretch):
+        places = F.sequence(F.lit(1), F.length(stretch) - order)
+        return F.transform(places, lambda at: F.substring(stretch, at, F.lit(order + 1)))
+
+    return texts.select(*keep, F.explode(F.flatten(F.transform(stretches, inside))).alias("gram"))
 
 
 def ratios(texts: DataFrame, order: int) -> DataFrame:
@@ -127,11 +135,13 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, order: int = 4, folds
     texts = parts.groupBy("text").agg(
         F.coalesce(count("allow"), F.lit(0)).alias("accepted"), F.coalesce(count("block"), F.lit(0)).alias("rejected")
     )
-    texts = stage(texts.withColumn("kept", fold(F.col("text"), folds)), "urls")
+    numbered = texts.withColumns({"kept": fold(F.col("text"), folds), "id": F.monotonically_increasing_id()})
+    texts = stage(numbered, "urls")
     teaching = [F.when(F.col("kept"), 0).otherwise(F.col(c)).alias(c) for c in ("accepted", "rejected")]
     model = stage(ratios(texts.select("text", *teaching), order), "ratios")
-    scores = _grams(texts, order, "text").join(model, "gram").groupBy("text").agg(F.avg("ratio").alias("score"))
-    scores = stage(scores, "scores")
+    # grams carry their text's number: with the text itself, a long one would be written once a character
+    scores = _grams(texts, order, "id").join(model, "gram").groupBy("id").agg(F.avg("ratio").alias("score"))
+    scores = stage(texts.select("id", "text").join(scores, "id").drop("id"), "scores")
     parting = threshold(texts.where("kept").join(scores, "text"))
     joined = parts.join(scores, "text")
     own = F.when(F.col("score") >= parting, "allow").otherwise("block")
