@@ -66,8 +66,9 @@ def nearest(item: str, text: str, anchored: bool = False) -> tuple[int, int]:
 class Matcher:
     """Test items of one block and the automaton of their pieces."""
 
-    def __init__(self, items: list[tuple], rate: float):
-        self.items = [(key, text, int(rate * len(text))) for key, text in items]
+    def __init__(self, items: list[tuple], rate: float, least: int):
+        self.least = least
+        self.items = [(key, text, int(rate * len(text)) if len(text) >= least else 0) for key, text in items]
         self.automaton = ahocorasick.Automaton()
         places: dict[str, list] = defaultdict(list)
         for k, (_, text, budget) in enumerate(self.items):
@@ -85,6 +86,11 @@ class Matcher:
                 starts[k].add(last + 1 - size - at)  # where the item would start if nothing were added before
         for k, shifts in starts.items():
             _, item, budget = self.items[k]
+            if len(item) < self.least:  # whole words only
+                at = next((at for at in sorted(starts[k]) if _apart(text, at) and _apart(text, at + len(item))), None)
+                if at is not None:
+                    yield k, 0, at, at + len(item)
+                continue
             best = None
             low = high = None
             windows = []
@@ -109,6 +115,11 @@ class Matcher:
                 yield k, distance, end - back, end
 
 
+def _apart(text: str, at: int) -> bool:
+    """Whether no word goes on across a place."""
+    return not (0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum())
+
+
 def _original(text: str, start: int, end: int) -> tuple[int, int]:
     """Offset and length in the text of a stretch of plain(text)."""
     at, first, last = 0, None, 0
@@ -129,15 +140,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06, least:
 
     An item of n characters (lower case, single spaces) is held where a stretch of the document is at
     most floor(rate * n) edits away; of several stretches the nearest and then first counts. The items
-    come in blocks of bounded size, each matched against all rows. Items below ``least`` characters,
-    null and empty ones match nothing, as do null and empty texts; long texts are searched whole.
+    come in blocks of bounded size, each matched against all rows. Items below ``least`` characters are held
+    where they stand letter by letter as whole words. Null and empty items match nothing, as do null and
+    empty texts; long texts are searched whole.
     Repeated rows give repeated matches; ids may be null; other columns do no harm; no rows give none.
     """
     kinds = {"doc_id": docs.schema["doc_id"].dataType.simpleString(), "item": benchmark.schema["item_id"].dataType.simpleString()}
     shape = f"doc_id {kinds['doc_id']}, " + _SHAPE.format(item=kinds["item"])
     out = None
-    for items in item_blocks(docs, benchmark, least):
-        found = docs.select("doc_id", "text").mapInArrow(_search(items, rate, to_arrow_type(benchmark.schema["item_id"].dataType)), shape)
+    for items in item_blocks(docs, benchmark):
+        found = docs.select("doc_id", "text").mapInArrow(_search(items, rate, least, to_arrow_type(benchmark.schema["item_id"].dataType)), shape)
         out = found if out is None else out.union(found)
     return out
 
@@ -147,7 +159,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06, lea
 
     def without(items):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(items.value, rate) if items.value else None
+            matcher = Matcher(items.value, rate, least) if items.value else None
             for batch in batches:
                 texts = batch.column("text").to_pylist()
                 clean = [matcher is None or next(matcher.matches(plain(t)), None) is None for t in texts]
@@ -155,12 +167,12 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06, lea
 
         return run
 
-    for items in item_blocks(docs, benchmark, least):
+    for items in item_blocks(docs, benchmark):
         docs = docs.mapInArrow(without(items), docs.schema)
     return docs
 
 
-def item_blocks(docs: DataFrame, benchmark: DataFrame, least: int) -> Iterator:
+def item_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator:
     """The test items in broadcast blocks of about _BLOCK characters."""
     spark = docs.sparkSession
     known = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
@@ -170,13 +182,13 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame, least: int) -> Iterator:
         known = stage(known.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "items")
     for block in range(blocks):
         part = known.where(F.col("block") == block) if blocks > 1 else known
-        items = [(r.item_id, p) for r in part.collect() if len(p := plain(r.text)) >= least]  # about _BLOCK characters
+        items = [(r.item_id, p) for r in part.collect() if (p := plain(r.text))]  # about _BLOCK characters
         yield spark.sparkContext.broadcast(items)
 
 
-def _search(items, rate: float, key_type: pa.DataType):
+def _search(items, rate: float, least: int, key_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items.value, rate) if items.value else None
+        matcher = Matcher(items.value, rate, least) if items.value else None
         for batch in batches:
             rows = []
             for k, text in enumerate(batch.column("text").to_pylist() if matcher else []):

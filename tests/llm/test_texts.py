@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import duckdb
@@ -53,6 +54,7 @@ def test_leaks_are_those_within_the_budget(spark, monkeypatch, block):
             text += "\n " + "".join(leak) + "  " + word()
         rows.append((k, text, "x"))
     rows += [(80, None, "x"), (81, "", "x"), (None, items[0][1], "x"), rows[1]]
+    rows += [(82, "it is Too  short, she said", "x"), (83, "too shorter", "x"), (84, "stoo short", "x"), (85, "too short", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, item_id string").repartition(4)
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = Counter((r.doc_id, r.item_id, r.distance) for r in decontaminate.find_leaks(docs, bench).collect())
@@ -63,6 +65,8 @@ def test_leaks_are_those_within_the_budget(spark, monkeypatch, block):
             least = _distance(plain, decontaminate.plain(text))[0]
             if len(plain) >= 20 and least <= int(0.06 * len(plain)):
                 expected[doc, key, least] += 1
+            elif 0 < len(plain) < 20 and re.search(rf"(?<![a-z0-9]){plain}(?![a-z0-9])", decontaminate.plain(text)):
+                expected[doc, key, 0] += 1
     assert found == expected and len(found) > 20
     leaked = {doc for doc, _, _ in expected}
     kept = [r.doc_id for r in decontaminate.without_leaks(docs, bench).collect()]
