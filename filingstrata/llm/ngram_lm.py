@@ -18,7 +18,8 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filingstrata.sources.staging import new_folder, stage
+from filingstrata.sources import files
+from filingstrata.sources.staging import scoped_folder
 
 from .common import WordHashes, fold, mixed, words
 
@@ -147,6 +148,7 @@ class Model:
     train_tokens: int
     vocabulary: int
     continuations: tuple[int, int, int, int]  # of order 1: the sum, and how many are 1, 2 and more
+    written: dict[int, frozenset[int]]  # by order: the shards that have a file
 
 
 def _write(folder: str, name: str, arrays: list[np.ndarray]) -> None:
@@ -171,17 +173,17 @@ class _Files:
 
     def __init__(self, folder: str):
         self.system, self.path = _filesystem(folder)
-        self.open: dict[str, list[np.ndarray] | None] = {}
+        self.open: dict[str, list[np.ndarray]] = {}
 
-    def get(self, name: str) -> list[np.ndarray] | None:
+    def get(self, name: str) -> list[np.ndarray]:
         if name not in self.open:
             self.open[name] = self._map(name)
         return self.open[name]
 
-    def _map(self, name: str) -> list[np.ndarray] | None:
+    def _map(self, name: str) -> list[np.ndarray]:
         path = f"{self.path}/{name}"
         if self.system.get_file_info(path).type == fs.FileType.NotFound:
-            return None
+            raise FileNotFoundError(f"{path} of the model is gone or cannot be seen from here")
         if isinstance(self.system, fs.LocalFileSystem):
             with open(path, "rb") as file:
                 data = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
@@ -213,7 +215,7 @@ def train(texts: DataFrame, order: int = 2, shards: int | None = None) -> Model:
     """
     spark = texts.sparkSession
     shards = shards or 3 * int(spark.conf.get("spark.sql.shuffle.partitions")) // 2
-    folder = new_folder(spark, "ngrams")
+    folder = scoped_folder(spark, "ngrams")
     system, path = _filesystem(folder)
     system.create_dir(path)
     texts = texts.select("text")
@@ -264,10 +266,17 @@ def train(texts: DataFrame, order: int = 2, shards: int | None = None) -> Model:
         if size:
             yield from flush()
 
-    blocks = texts.mapInArrow(count, "shard long, block binary")
-    found = {}
+    blocks, before = texts.mapInArrow(count, "shard long, block binary"), None
+    found, written = {}, {}
     for width in range(order, 0, -1):
-        merged = stage(_merge(blocks, folder, width, width < order, common, shards), f"ngrams-{width}")
+        into = scoped_folder(spark, f"ngrams-{width}")
+        made = _merge(blocks, folder, width, width < order, common, shards)
+        made.write.parquet(into)
+        merged = spark.read.schema(made.schema).parquet(into)
+        if before:
+            files.delete(spark, before)  # the blocks of the order above have been read
+        before = into
+        written[width] = frozenset(r.shard for r in merged.where("kind = 'sums'").select("shard").collect())  # one a shard
         numbers = merged.where("kind = 'sums'").selectExpr(*[f"sum(n[{k}]) n{k}" for k in range(7)]).first()
         spread = merged.where("kind = 'context'").groupBy("shard").agg(*[F.sum(F.col("n")[k]).alias(f"n{k}") for k in range(4)])
         rows = spread.collect()  # half as many as shards
@@ -278,7 +287,7 @@ def train(texts: DataFrame, order: int = 2, shards: int | None = None) -> Model:
     n1 = [found[1][0][k] or 0 for k in range(7)]
     return Model(
         folder, order, shards, [_discounts([found[k][0][i] or 0 for i in range(4)]) for k in range(1, order + 1)],
-        {k: found[k][1] for k in range(2, order + 1)}, n1[6], n1[5], (n1[4], n1[0], n1[1], n1[5] - n1[0] - n1[1]),
+        {k: found[k][1] for k in range(2, order + 1)}, n1[6], n1[5], (n1[4], n1[0], n1[1], n1[5] - n1[0] - n1[1]), written,
     )
 
 
@@ -297,7 +306,7 @@ def _merge(blocks: DataFrame, folder: str, width: int, with_raw: bool, common: d
         columns, gram = [c[at] for c in columns], gram[at]
         out: list[tuple] = []
         many = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-        out.append(("sums", 0, None, [*many, int(counts.sum()), len(counts), int(raw.sum())]))
+        out.append(("sums", int(key[0]), None, [*many, int(counts.sum()), len(counts), int(raw.sum())]))
         if width == 1:
             _write(folder, f"1-{key[0]}", [gram, counts, raw])
         else:
@@ -337,9 +346,9 @@ class Scorer:
         order = np.argsort(shard.astype(np.uint16) if self.model.shards < 65536 else shard, kind="stable")
         begin = _runs(shard[order])
         for a, b in zip(begin, np.append(begin[1:], len(order))):
-            arrays = self.files.get(f"{width}-{shard[order[a]]}")
-            if arrays is not None:
-                yield order[a:b], arrays
+            number = int(shard[order[a]])
+            if number in self.model.written[width]:
+                yield order[a:b], self.files.get(f"{width}-{number}")
 
     def unigrams(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities of order 1 and counts in training."""

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import os
+import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -230,3 +233,29 @@ def test_urls_by_rule_and_by_model(spark):
         assert score == pytest.approx(sum(ratio) / len(ratio))
     verdicts = {r.page_id: r.verdict for r in judged}
     assert verdicts[306] == "block" and verdicts[307] == "allow"
+
+
+def test_a_very_long_url_costs_as_much_as_its_length(spark):
+    rng = random.Random(9)
+    urls_ = [f"http://example.net/en/{rng.choice('abc')}{k}" for k in range(30)] + [f"http://bad.net/{rng.choice('xyz')}{k}" for k in range(30)]
+    long = ["http://example.org/" + "".join(rng.choice("abxyz/") for _ in range(n)) for n in (300_000, 257, 256, 255, 1)]
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate(urls_ + long)], "page_id long, url string")
+    began = time.monotonic()
+    found = {r.page_id: r for r in urls.judge(pages).collect()}
+    assert len(found) == 65 and found[60].score is not None and time.monotonic() - began < 60
+    texts = spark.createDataFrame([("ab" * 700,), ("",), ("x" * 256,), ("y" * 257,)], "text string")
+    grams = sorted(r.gram for r in urls._grams(texts, 3).collect())
+    plain = ["\x02\x02\x02" + t.text + "\x03" for t in texts.collect()]
+    assert grams == sorted(p[i : i + 4] for p in plain for i in range(len(p) - 3))
+
+
+def test_a_lost_model_file_is_an_error(spark):
+    docs = spark.createDataFrame([(k, f"a b c {k % 7} d e") for k in range(200)], "doc_id long, text string")
+    model = ngram_lm.train(docs, order=2)
+    held_out = F.lit(False)
+    assert ngram_lm.score(docs, model, held_out).count() == 200
+    folder = model.folder.removeprefix("file://").removeprefix("file:")
+    some = sorted(model.written[2])[0]
+    os.remove(f"{folder}/2-{some}")
+    with pytest.raises(Exception, match="is gone or cannot be seen"):
+        ngram_lm.score(docs, model, held_out).collect()
