@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from filingstrata.llm import ngram_lm, neighbours, queries
@@ -40,6 +41,39 @@ def test_vector_links_are_exact(spark):
         assert (r.n_links, r.component_id, r.kept) == (n, root, r.vec_id is not None and r.vec_id == root), r
 
 
+def _dense_and_pairs(rng, dense, pairs):
+    """A dense group, lone pairs and vectors alone, as (vec_id, embedding, label)."""
+    near = lambda centre, noise: [float(x) for x in centre + rng.normal(size=32) * noise]
+    centre, rows = rng.normal(size=32), []
+    rows += [near(centre, 0.03) for _ in range(dense)]
+    for _ in range(pairs):
+        mate = rng.normal(size=32)
+        rows += [near(mate, 0.02), near(mate, 0.02)]
+    rows += [near(np.zeros(32), 1.0) for _ in range(dense)]
+    return [(k, v, 1) for k, v in enumerate(rows)]
+
+
+def test_a_dense_group_does_not_hide_lost_pairs(spark):
+    rows = _dense_and_pairs(np.random.default_rng(3), 300, 100)
+    points = neighbours.unit_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    points = points.select(F.col("vec_id").alias("a"), "label", "v", F.lit(1).alias("copies"))
+    pairs = [(300 + 2 * k, 301 + 2 * k) for k in range(100)]
+    found = [(k, 0) for k in range(300)] + [(x, a) for a, b in pairs for x in (a, b)]
+    roots = spark.createDataFrame(found, "node long, root long")
+    assert neighbours.audit(points, roots, 0.93) == 1.0
+    lost = roots.where("root = 0 or root % 10 <> 0")  # one pair in five
+    assert 0.7 < neighbours.audit(points, lost, 0.93) < 0.9
+
+
+def test_lone_pairs_beside_a_dense_group_are_found(spark):
+    rows = _dense_and_pairs(np.random.default_rng(4), 900, 100)
+    found = neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    links = {r.vec_id: r.n_links for r in found}
+    lone = sum(links[900 + 2 * k] == 1 == links[901 + 2 * k] for k in range(100))
+    assert lone >= 99 and all(r.audited_recall >= 0.99 for r in found)
+    assert all(links[k] >= 890 for k in range(900))
+
+
 def test_no_vectors(spark):
     assert neighbours.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
@@ -94,9 +128,11 @@ COLUMNS = {
     "op4_url_filter": "page_id host path rule verdict score",
     "op5_lm_scoring": "doc_id held_out n_tokens n_known train_tokens base_score score perplexity",
     "op6_ngram_jaccard_join": "doc_id n_shingles component_id",
-    "op7_embedding_near_dedup": "vec_id n_links component_id kept",
+    "op7_embedding_near_dedup": "vec_id n_links component_id kept audited_recall",
     "op8_source_mixing": "doc_id source lang n_chars mix_share mix_block mix_slot mix_position mix_complete",
     "op10_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op11_exact_dedup": "doc_id keep_id group_size kept text_sha256",
+    "op13_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
 }
 
 
