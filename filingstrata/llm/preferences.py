@@ -78,12 +78,14 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
 def pairs_by_next(turns: DataFrame) -> DataFrame:
     """(pair_id, chosen, rejected): each conversation against itself with another's last answer.
 
-    The other is the conversation of the next id; where there is none, the rejected one lacks the last
-    turn. A stand-in for labelled pairs where a table holds single conversations.
+    The other is the conversation of the next whole number; where there is none, as for ids that are no
+    numbers, the rejected one lacks the last turn. A stand-in for labelled pairs where a table holds single conversations.
     """
+    number = F.col("conv_id").try_cast("long")
+    number = F.when(number.cast("string") == F.col("conv_id").cast("string"), number)  # "01" is no number here
     whole = conversations(turns)
-    last = whole.select((F.col("conv_id") - 1).alias("conv_id"), F.element_at("turns", -1).alias("other"))
-    joined = whole.join(last, "conv_id", "left")
+    last = whole.where(number.isNotNull()).select((number - 1).alias("before"), F.element_at("turns", -1).alias("other"))
+    joined = whole.withColumn("before", number).join(last, "before", "left")
     start = F.slice("turns", F.lit(1), F.size("turns") - 1)
     own = F.element_at("turns", -1)
     swapped = F.struct(own["turn"].alias("turn"), own["role"].alias("role"), F.col("other")["text"].alias("text"))

@@ -360,6 +360,13 @@ def test_preference_pairs(spark):
     assert done[4].n_prompt_turns == 1 and done[None].n_prompt_turns == 1
 
 
+def test_pairs_of_conversations_with_text_ids(spark):
+    rows = [(c, k, "assistant", f"{c}{k}") for c in ("1", "2", "02", "x", "x-1") for k in range(2)]
+    turns = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    found = {r.pair_id: [t.text for t in r.rejected] for r in preferences.pairs_by_next(turns).collect()}
+    assert found == {"1": ["10", "21"], "2": ["20"], "02": ["020"], "x": ["x0"], "x-1": ["x-10"]}
+
+
 def test_conversations_with_gaps(spark):
     rows = [(1, 0, "user", "q"), (1, 0, "user", "q"), (1, 2, None, None), (None, 0, "user", "z"), (1, None, "user", "z"), (2, 0, "user", "q")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
