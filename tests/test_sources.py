@@ -282,3 +282,27 @@ def test_ingest_is_one_scan_a_layout(spark, tmp_path):
     frame(spark, schemas.NUM_SCHEMA, ["adsh"], [("x",)]).write.parquet(f"{raw}/2024q2/num.parquet")
     assert plan(read_raw(spark, raw, "num")).count("FileScan") == 2
     assert plan(read_raw(spark, raw, "pre")).count("FileScan") == 1
+
+
+def test_a_checked_load_casts_a_value_once(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    spark.createDataFrame([("a", "1.5")], "adsh string, value string").write.parquet(f"{raw}/2024q1/num.parquet")
+    checked = plan(read_raw(spark, raw, "num", add_missing=True, rescue="rescued"))
+    assert checked.count("cast(value#") == 1
+
+
+def test_quarters_of_odd_paths(spark, tmp_path):
+    raw = str(tmp_path / "a b+c%20d")
+    for k, folder in enumerate(("2023q4", "2024q1", "2024q1 again+", "FS%_2024-01Q3"), 1):
+        frame(spark, schemas.TAG_SCHEMA, ["tag"], [(f"T{k}",)]).write.parquet(f"{raw}/{folder}/tag.parquet")
+    wanted = [("T1", 2023, 4), ("T2", 2024, 1), ("T3", 2024, 1), ("T4", None, None)]
+    found = {row.tag: (row.year, row.quarter) for row in read_raw(spark, raw, "tag").collect()}
+    assert found == {tag: (year, quarter) for tag, year, quarter in wanted if year}
+    # paths named in numbers beyond the comparison are searched, with the same result
+    import filingstrata.sources.bronze as bronze
+
+    most, bronze._COMPARED_PATHS = bronze._COMPARED_PATHS, 1
+    try:
+        assert {row.tag: (row.year, row.quarter) for row in read_raw(spark, raw, "tag").collect()} == found
+    finally:
+        bronze._COMPARED_PATHS = most
