@@ -150,3 +150,21 @@ def test_replaced_quarters_late_companies_and_broken_updates(spark, tmp_path, mo
     assert silver_of(lake) == silver_of(whole)
     assert [int(row[0]) for row in rows(lake.read("silver", "numbers").where("adsh = 'A1'"), "value")] == [1, 1, 3]
     assert lake.read("state", "pending").count() == 0
+
+
+def test_changed_rows_and_asked_groups_take_one_shuffle(spark):
+    after = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), ("c", 3)], "k string, v int")
+    before = spark.createDataFrame([("a", 1), ("b", None), ("d", 4)], "k string, v int")
+    changed = incremental._differing(after, before)
+    assert rows(changed) == [("a", 1), ("c", 3), ("d", 4)]  # one copy more, come, gone; NULL equals NULL
+    assert plan(changed).count("Exchange") == 1
+
+    kind = "g string, year int, quarter int"
+    old, new = (2024, 1), (2024, 2)
+    own_counts = spark.createDataFrame([("counted", *new), ("both", *new), (None, *new)], kind)
+    own_gaps = spark.createDataFrame([("own gap", *new)], kind)
+    old_counts = spark.createDataFrame([("was counted", *new), ("elsewhere", *old)], kind)
+    old_gaps = spark.createDataFrame([("both", *old), ("was counted", *old), ("replaced", *new), ("elsewhere", *old), (None, *old)], kind)
+    asked = incremental._asked(own_counts, own_gaps, old_counts, old_gaps, ["g"], [new])
+    assert rows(asked) == [("both",), ("own gap",), ("was counted",)]
+    assert plan(asked).count("Exchange") == 1
