@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__
+from helpers import plan
 from verification.compare import difference, open_tables
 from verification.oracles import ORACLES
-from verification.queries import QUERIES
+from verification.queries import QUERIES, _made_once
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,3 +31,9 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     assert difference(spark, connection, name, SF) is None
+
+
+def test_the_fact_makes_its_raw_tables_once(spark):
+    for made in _made_once(spark, SF):
+        scan = plan(made)
+        assert "FileScan" in scan and "Join" not in scan and "Aggregate" not in scan

@@ -26,7 +26,7 @@ from filingstrata.operators.statistics import filled, group_statistics, merged_c
 from filingstrata.plans import gold, incremental, layers, silver
 from filingstrata.sources.bronze import conform, ingest, ingest_checked, read_bronze, with_year_quarter
 from filingstrata.sources.buckets import write_bucketed, write_for_lookup
-from filingstrata.sources.staging import new_folder
+from filingstrata.sources.staging import new_folder, stage
 from filingstrata.sources.tables import Lake
 from filingstrata.sources.text import read_tsv, write_tsv
 from verification.adapters import (
@@ -228,13 +228,19 @@ def dim_pre(spark: SparkSession, sf: str) -> DataFrame:
     return gold.dim_pre(_silver_pre(spark, sf))
 
 
+def _made_once(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Raw submissions and presentations, joined and grouped from the test tables once for all that scans them."""
+    return stage(sub_raw(spark, sf), "sub"), stage(pre_raw(spark, sf), "pre")
+
+
 def _fact(spark: SparkSession, sf: str, **options) -> DataFrame:
     # As between layers of the stored tables: each cleaned input is written once and read back.
     lake = Lake(spark, new_folder(spark, "lake"))
+    sub_made, pre_made = _made_once(spark, sf)
     cleaned = {
-        "submissions": _silver_sub(spark, sf),
-        "numbers": _silver_num(spark, sf),
-        "presentations": _silver_pre(spark, sf),
+        "submissions": silver.silver_submissions(sub_made),
+        "numbers": silver.silver_numbers(num_raw(spark, sf), sub_made, **YEARS),
+        "presentations": silver.silver_presentations(pre_made),
         "tags": _silver_tag(spark, sf),
     }
     for name, rows in cleaned.items():
@@ -257,8 +263,15 @@ def fact_from_buckets(spark: SparkSession, sf: str) -> DataFrame:
     """The fact of numbers and keys stored in the same buckets."""
     lake = Lake(spark, new_folder(spark, "lake"))
     schema = f"buckets_{lake.root.rsplit('-', 1)[1]}"
-    lake.write(_silver_num(spark, sf), "silver", "plain")
-    numbers, sub, pre = lake.read("silver", "plain"), _silver_sub(spark, sf), _silver_pre(spark, sf)
+    sub_made, pre_made = _made_once(spark, sf)
+    cleaned = {
+        "plain": silver.silver_numbers(num_raw(spark, sf), sub_made, **YEARS),
+        "submissions": silver.silver_submissions(sub_made),
+        "presentations": silver.silver_presentations(pre_made),
+    }
+    for name, rows in cleaned.items():
+        lake.write(rows, "silver", name)
+    numbers, sub, pre = (lake.read("silver", name) for name in cleaned)
     owned = gold.filing_keys(sub, _silver_tag(spark, sf), pre, gold.dim_pre(pre), gold.dim_company(sub))
     key = ["adsh", "tag", "version"]
     stored = [write_bucketed(lake, df, "silver", name, key, 8, schema) for name, df in (("numbers", numbers), ("filing_keys", owned))]
