@@ -200,6 +200,41 @@ def test_fuzzy_passages_are_all_found(spark, n, every):
     assert found == set(range(1, 100, 2))
 
 
+def test_fuzzy_passages_whose_runs_stand_alone_before(spark):
+    """Fuzzy copies of which every run of equal words also stands in earlier documents, in few and in many."""
+    rng = random.Random(8)
+    text, rows, wanted = _texts(rng, 10**6), [], set()
+    for k in range(8):
+        passage = text(60)
+        copy = [f"x{rng.randrange(10**6)}" if j % 10 == 9 else w for j, w in enumerate(passage)]
+        for j in range(0, 60, 10):
+            rows += [(1000 * k + 30 * j + i, " ".join(text(15) + passage[j : j + 9] + text(15))) for i in range(1 + (k % 2) * 25)]
+        rows += [(10_000 + 2 * k, " ".join(text(30) + passage + text(30))), (10_001 + 2 * k, " ".join(text(30) + copy + text(30)))]
+        wanted.add(10_001 + 2 * k)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = passages.find_passages(docs).collect()
+    assert {(r.doc_id, r.source_id) for r in found} == {(d, d - 1) for d in wanted}
+    assert all(r.start <= 32 and r.start + r.n_words >= 87 for r in found)
+
+
+@pytest.mark.parametrize("block", [7, 1000])
+def test_a_line_of_many_documents_beside_copies(spark, monkeypatch, block):
+    """A line in many documents, that a few times is all that a fuzzy copy shares in runs of four words."""
+    monkeypatch.setattr(passages, "BLOCK", block)
+    rng = random.Random(9)
+    text, rows, wanted = _texts(rng, 10**6), [], set()
+    line = text(20)
+    rows += [(k, " ".join(text(40) + line + text(40))) for k in range(60)] + [(70, "a b c"), (71, "a b c d"), (72, ""), (73, None)]
+    for k in range(100, 120, 2):
+        a, b = text(16), text(16)
+        copies = [[f"x{rng.randrange(10**6)}" if j % 4 == off else w for j, w in enumerate(x)] for x, off in ((a, 3), (b, 0))]
+        rows += [(k, " ".join(text(40) + a + line + b + text(40))), (k + 1, " ".join(text(40) + copies[0] + line + copies[1] + text(40)))]
+        wanted.add((k + 1, k))
+    found = passages.find_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.source_id) for r in found} == wanted
+    assert all(r.identity >= 0.8 and r.n_words >= 45 for r in found)
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert passages.find_passages(empty).count() == 0
