@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from filingstrata import schemas
 from filingstrata.plans import layers
+from filingstrata.sources import files
 from filingstrata.sources.bronze import (
     cast_failures,
     conform,
@@ -23,7 +25,7 @@ from filingstrata.sources.bronze import (
     unread,
     with_year_quarter,
 )
-from filingstrata.sources.staging import shared_folder, stage, staging_scope
+from filingstrata.sources.staging import shared_folder, stage, stage_made, staging_scope
 from filingstrata.sources.tables import Lake
 from filingstrata.sources.text import read_tsv, write_tsv
 from helpers import frame, plan, rows
@@ -228,6 +230,35 @@ def test_staged_rows_live_in_the_shared_folder(spark):
     assert all(folder in name for name in staged.inputFiles())
 
 
+def test_shuffle_files_go_once_rows_are_staged(spark):
+    jvm = spark.sparkContext._jvm
+    blocks = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks.getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    before = shuffled()
+    staged = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    for _ in range(50):  # removal is asked for, not waited for
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert staged.agg(F.sum("count")).first()[0] == 1000
+
+
+def test_what_is_staged_on_the_way_goes(spark):
+    on_the_way = []
+
+    def make():
+        on_the_way.append(stage(spark.range(3), "inner"))
+        return on_the_way[0].where("id > 0")
+
+    kept = stage_made(spark, "outer", make)
+    assert sorted(rows(kept)) == [(1,), (2,)]
+    assert not files.exists(spark, on_the_way[0].inputFiles()[0].rsplit("/", 1)[0])
+
+
 def test_staged_folders_go_with_their_scope(spark):
     with staging_scope(spark):
         inside = stage(spark.range(3), "scoped")
