@@ -8,10 +8,12 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from filingstrata.llm import decontaminate, jaccard, mixing, passages, preferences, queries
+from filingstrata.llm.common import word_hashes, words
 from filingstrata.llm.components import connected
 
 
@@ -271,6 +273,18 @@ def _components(rows):
     return sorted((doc, len(sets[k]), least[find(k)]) for k, (doc, _) in enumerate(rows))
 
 
+@pytest.mark.parametrize("step", [1, 8, 1 << 19])
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_hashed_words_are_those_of_the_text(step, kind):
+    odd = [None, "", " ", "\n\x0b a\tB  c ", "A b", "x", " y", "é\xa0Ü a", "ab ba", "a" * 5000, "q w e r t y", "q w e r t  Y "]
+    for texts in (pa.array(odd, kind), pa.array(odd, kind).slice(3, 5), pa.array([], kind), pa.array([None, None], kind)):
+        got = [found[a:b].tolist() for found, at in word_hashes(texts, step) for a, b in zip(at, at[1:])]
+        expected = [words(t) for t in texts.to_pylist()]
+        assert [len(g) for g in got] == [len(e) for e in expected]
+        pairs = {(w, h) for e, g in zip(expected, got) for w, h in zip(e, g)}
+        assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
+
+
 @pytest.mark.parametrize(("block", "leaf"), [(256, 24), (20, 4)])
 def test_similar_documents_are_exact(spark, monkeypatch, block, leaf):
     monkeypatch.setattr(jaccard, "BLOCK", block)
