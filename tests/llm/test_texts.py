@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from helpers import plan
 from pyspark.sql import functions as F
 
 from filingstrata.llm import decontaminate, jaccard, mixing, passages, preferences, queries
@@ -313,6 +314,39 @@ def test_similar_documents_are_exact(spark, monkeypatch, block, leaf):
     assert sorted(map(tuple, jaccard.similar_documents(docs).collect())) == _components(rows)
 
 
+def test_sets_travel_with_shared_shingles_only(spark, monkeypatch):
+    """Of the first shingles those go on that another set holds; of the texts those that are wanted."""
+    rng = random.Random(8)
+    rows = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(100))) for k in range(60)]
+    rows += [(100 + k, t + " end") for k, t in rows[:5]]
+    met, texts = [], []
+    pairs, word_sets = jaccard._pairs, jaccard._sets
+    monkeypatch.setattr(jaccard, "_pairs", lambda m: met.append(m.select("h", "keys", "firsts").collect()) or pairs(m))
+
+    def sets(docs, wanted):
+        made = word_sets(docs, wanted)
+        texts.append((made, wanted.count()))
+        assert plan(made).count("MapInArrow") == 2  # texts are told apart before they are shuffled
+        return made
+
+    monkeypatch.setattr(jaccard, "_sets", sets)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = sorted(map(tuple, jaccard.similar_documents(docs).collect()))
+    assert found == _components(rows)
+    assert sum(c == d for d, _, c in found) == 60
+    assert len(met[0]) == 10 and all(0 < len(r.keys) <= r.firsts for r in met[0])
+    assert texts and all(n <= 10 for _, n in texts)
+
+
+def test_blocks_of_a_region_meet_once(spark):
+    """Every two blocks, and each by itself; regions of one block are not joined."""
+    packed = [(1, 0, 1, 0, ["a"]), *[(2, 0, 4, b, [f"b{b}"]) for b in range(4)]]
+    packed = spark.createDataFrame(packed, "pivot long, class int, blocks int, block int, members array<string>")
+    found = Counter((r.pivot, *r.members, *(r.others or ["-"])) for r in jaccard._block_pairs(packed).collect())
+    pairs = [(2, f"b{i}", f"b{j}") for i in range(4) for j in range(i + 1, 4)]
+    assert found == Counter([(1, "a", "-"), *[(2, f"b{b}", "-") for b in range(4)], *pairs])
+
+
 def test_rows_without_id(spark):
     data = [(None, "a b c d e f"), (4, "A b c d e f"), (9, "a b c d e f"), (None, "alone"), (None, None)]
     found = jaccard.similar_documents(spark.createDataFrame(data, "doc_id long, text string")).collect()
