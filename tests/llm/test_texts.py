@@ -467,3 +467,32 @@ def test_queries_with_sql(spark, name):
     order = ", ".join(sorted(df.columns))
     expected = connection.execute(f"SELECT {order} FROM ({queries.ORACLES[name]})").fetchall()
     assert Counter(map(tuple, df.select(*sorted(df.columns)).collect())) == Counter(expected) and expected
+
+
+def test_texts_are_read_once_and_stretches_need_no_join(spark, monkeypatch):
+    """Words travel in mapped files: a text is shuffled nowhere, and a task holds few matches at once."""
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    passage = rng.choices(vocabulary, k=80)
+    rows = [(k, " ".join([*rng.choices(vocabulary, k=60), *passage, *rng.choices(vocabulary, k=60)])) for k in range(30)]
+    docs = spark.createDataFrame([*rows, (None, "x"), (40, None)], "doc_id long, text string")
+    words = passages.Words(docs)
+    stored = words.rows.collect()
+    assert sorted((r.doc_id, r.n) for r in stored) == [*((k, 200) for k in range(30)), (40, 0)]
+    texts = passages._Texts(words.stored)
+    places = texts.places(pa.array([7, 40, 41, 3]))
+    assert [len(p) for p in places] == [1, 1, 0, 1]
+    assert (texts.stretch(places[0], 60, 140) == texts.stretch(places[3], 60, 140)).all() and len(texts.stretch(places[1], 0, 9)) == 0
+    assert len(texts.stretch(places[0], 180, 300)) == 20
+    monkeypatch.setattr(passages, "_MATCHES", 50)
+    found = {(r.doc_id, r.source_id) for r in passages.find_passages(docs).collect()}
+    assert found >= {(k, 0) for k in range(1, 30)} and all(s < k for k, s in found)
+
+
+def test_seeds_inside_passages(spark):
+    """A seed is held by one passage, not by two that meet in it."""
+    often = spark.createDataFrame([(1, "a", pos, 5, after) for pos, after in ((0, False), (6, True), (7, True), (20, False))] + [(1, "b", 6, 5, True)],
+                                  "seed long, doc_id string, pos int, prior long, after boolean")
+    cuts = spark.createDataFrame([("a", 0, 8), ("a", 5, 6), ("a", 2, 3)], "doc_id string, start int, n_words int")
+    found = {(r.doc_id, r.pos): (r["query"], r["head"]) for r in passages._outside(often, cuts).collect()}
+    assert found == {("a", 0): (False, True), ("a", 6): (False, True), ("a", 7): (False, True), ("a", 20): (True, True), ("b", 6): (True, False)}
